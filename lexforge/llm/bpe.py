@@ -326,7 +326,7 @@ class TextCodec:
         offsets = offsets - offsets[0]
         coded = lists.flatten().dictionary_encode()
         codes = np.asarray(coded.indices, dtype=np.int64)
-        fine = pc.split_pattern(pc.replace_substring_regex(coded.dictionary, _TAIL, "\\1\x00\\2"), "\x00")
+        fine = pc.split_pattern(pc.replace_substring_regex(coded.dictionary, _TAIL, "\\1\n\\2"), "\n")  # no chunk holds a newline
         parts = fine.flatten()
         parts = pc.if_else(pc.string_is_ascii(parts), pc.ascii_lower(parts), parts).dictionary_encode()
         rows = self.rows(parts.dictionary.to_pylist())

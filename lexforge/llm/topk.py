@@ -76,7 +76,7 @@ class Postings:
         order = np.argsort(terms, kind="stable")
         rows = np.repeat(np.arange(len(ids)), lengths)[order]
         names, starts = np.unique(terms[order], return_index=True)
-        ends = np.append(starts[1:], len(terms))
+        ends = np.append(starts, len(terms))[1:]
         w = weights[order]
         # a term that every vector holds needs no row numbers: its postings are the whole column
         self.lists = {int(t): (None if e - s == len(ids) else rows[s:e], w[s:e]) for t, s, e in zip(names, starts, ends, strict=True)}
