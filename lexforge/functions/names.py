@@ -114,9 +114,9 @@ def clean(name: Column) -> Column:
     return X.strip(step(without_stub)(step(without_metadata)(step(unrepeated)(x))))
 
 
-def garbage_flags(name: Column) -> dict[str, Column]:
-    """Every rule as a column of its own."""
-    w = X.tokens(name)
+def garbage_flags(name: Column, w: Column | None = None) -> dict[str, Column]:
+    """Every rule as a column of its own. w: the name's tokens, where they are at hand."""
+    w = X.tokens(name) if w is None else w
     n, first, final = F.size(w), F.get(w, 0), F.lower(last(w))
     low = F.lower(first)
     lone = lambda t: F.coalesce(t.rlike(r"^\p{Ll}$"), F.lit(False))
@@ -145,10 +145,14 @@ def garbage_flags(name: Column) -> dict[str, Column]:
 
 
 def is_garbage(name: Column) -> Column:
-    any_of = F.lit(False)
-    for rule in garbage_flags(name).values():
-        any_of = any_of | F.coalesce(rule, F.lit(False))
-    return any_of
+    def any_of(n: Column, w: Column) -> Column:
+        out = F.lit(False)
+        for rule in garbage_flags(n, w).values():
+            out = out | F.coalesce(rule, F.lit(False))
+        return out
+
+    # the name and its tokens once a row, wherever the optimiser moves this
+    return X.bind(name, lambda n: X.bind(X.tokens(n), lambda w: any_of(n, w)))
 
 
 def role(x: Column) -> Column:

@@ -45,7 +45,7 @@ def token_sanity(text: Column) -> Column:
 
 
 def percent(x: Column) -> Column:
-    return F.format_string("%.1f%%", x * 100)
+    return F.format_string("%.1f%%", F.bround(x * 100, 1))  # ties to even
 
 
 def gate(text: Column, dictionary=tuple(COMMON_WORDS)) -> Column:

@@ -1,6 +1,6 @@
 """Small text expressions that several operators share."""
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions.vocab import WS, WS_CHARS
@@ -44,3 +44,12 @@ def title(x: Column) -> Column:
 def bind(value: Column, use) -> Column:
     """use(value), with ``value`` evaluated once a row."""
     return F.transform(F.array(value), use)[0]
+
+
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns that are evaluated once a row, however often what follows refers to them.
+
+    A filter or projection above would otherwise take in their expressions, and
+    evaluate them again for every reference.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexforge.functions import names as N
+from lexforge.functions import text as X
 
 
 def cleaned(names: DataFrame) -> DataFrame:
@@ -12,9 +13,9 @@ def cleaned(names: DataFrame) -> DataFrame:
     verdict: null (stays), garbage or low_confidence.
     """
     base = F.coalesce(F.nullif(F.col("normalized_name"), F.lit("")), F.nullif(F.col("original_text"), F.lit("")), F.lit(""))
-    rows = names.withColumn("clean_name", N.clean(base))
-    verdict = F.when(N.is_garbage(F.col("clean_name")), F.lit("garbage")).when(~N.confident(F.col("confidence")), F.lit("low_confidence"))
-    return rows.withColumns({"verdict": verdict, "was_remapped": N.role(F.col("role")) != F.coalesce("role", F.lit("")), "role": N.role(F.col("role"))})
+    rows = X.once(names, clean_name=N.clean(base))
+    rows = X.once(rows, verdict=F.when(N.is_garbage(F.col("clean_name")), F.lit("garbage")).when(~N.confident(F.col("confidence")), F.lit("low_confidence")))
+    return rows.withColumns({"was_remapped": N.role(F.col("role")) != F.coalesce("role", F.lit("")), "role": N.role(F.col("role"))})
 
 
 def one_of_each(names: DataFrame, name: str = "clean_name") -> DataFrame:

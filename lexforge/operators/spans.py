@@ -33,7 +33,8 @@ def matches(docs: DataFrame, pattern: str, text: str = "text", key: str = "file_
     """key, more, idx, start, end, match of every match of a pattern (none may be empty)."""
     found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     zipped = F.arrays_zip(found.alias("match"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
-    rows = docs.filter(F.col(text).rlike(pattern)).select(key, *more, F.monotonically_increasing_id().alias("_row"), F.posexplode(zipped).alias("idx", "x"))
+    rows = docs.filter(F.col(text).rlike(pattern)).select(key, *more, F.monotonically_increasing_id().alias("_row"), zipped.alias("_z"))
+    rows = rows.select(key, *more, "_row", F.posexplode("_z").alias("idx", "x"))
     upto = F.sum(F.length("x.gap") + F.length("x.match")).over(Window.partitionBy(key, "_row").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
     return rows.select(key, *more, "idx", (upto - F.length("x.match")).alias("start"), upto.alias("end"), F.col("x.match").alias("match"))
 

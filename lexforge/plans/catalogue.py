@@ -433,7 +433,7 @@ _REPLY = f"""CASE (conv_id + 2 * turn) % 5 WHEN 0 THEN 'no object here' WHEN 1 T
 _PAGE_TEXT = "concat('Owner''s pilot ', CAST(turn AS STRING), ' ', text)"
 _KIND = "CASE " + " ".join(f"WHEN lower(trim(occ)) = '{k}' THEN '{v}'" for k, v in OCCUPATION_SYNONYMS.items()) + " ELSE lower(trim(occ)) END"
 _MENTIONS = f"""rp AS (SELECT conv_id, turn, {_PAGE_TEXT} AS page, {_REPLY} AS reply FROM conversations), js AS (SELECT *, TRY_CAST(regexp_extract(reply, '\\{{(?s:.)*\\}}') AS JSON) AS j FROM rp WHERE contains(reply, '{{')),
-mm AS (SELECT conv_id, turn, page, unnest(from_json(json_extract(j, '$.occupation_mentions'), '["JSON"]')) AS m, unnest(range(0, json_array_length(j, '$.occupation_mentions'))) AS place FROM js),
+mm AS (SELECT conv_id, turn, page, unnest(from_json(json_extract(j, '$.occupation_mentions'), '["JSON"]')) AS m, unnest(range(0, CAST(json_array_length(j, '$.occupation_mentions') AS BIGINT))) AS place FROM js),
 mf AS (SELECT conv_id, turn, page, place, m ->> '$.occupation' AS occ, m ->> '$.surface_form' AS sf, coalesce(m ->> '$.person_name', '') AS person, coalesce(m ->> '$.evidence_span', '') AS ev FROM mm),
 mo AS (SELECT conv_id AS file_id, CAST(turn + 1 AS INTEGER) AS page_number, CAST(place AS INTEGER) AS place, {_KIND} AS occupation, CASE lower(CASE WHEN ev <> '' AND contains(lower(ev), lower(person) || '''s ') THEN '' ELSE person END) WHEN 'mara venn' THEN 'Mara Venn' WHEN 'otto lind' THEN 'Otto Lind' END AS person_name
  FROM mf WHERE occ <> '' AND sf <> '' AND (ev = '' OR contains(page, ev)))"""

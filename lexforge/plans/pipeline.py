@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.functions import cleaning, noise
+from lexforge.functions import text as X
 from lexforge.operators import classify, names, spans, work
 
 
@@ -26,7 +27,7 @@ class Options:
 def prepared(docs: DataFrame) -> DataFrame:
     """file_id, raw_text, clean_text, noise_score of (file_id, text); files without text are left out."""
     rows = docs.filter(F.coalesce(F.col("text"), F.lit("")) != "")
-    return rows.select("file_id", F.col("text").alias("raw_text"), cleaning.cleaned(F.col("text")).alias("clean_text"), noise.score(F.col("text")).alias("noise_score"))
+    return X.once(rows.select("file_id", F.col("text").alias("raw_text")), clean_text=cleaning.cleaned(F.col("raw_text")), noise_score=noise.score(F.col("raw_text")))
 
 
 def tier_one(docs: DataFrame, entities=spans.mock_entities, options: Options = Options()) -> DataFrame:

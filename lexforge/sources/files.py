@@ -172,11 +172,23 @@ def json_documents(spark: SparkSession, folder: str, suffixes=tuple(OUTPUT_SUFFI
     return rows.select("*", path.alias("_path")).filter(is_input(F.col("_path"), suffixes)).withColumn("file_id", F.coalesce("file_id", stem(F.col("_path"))))
 
 
-def broken_summaries(spark: SparkSession, folder: str) -> DataFrame:
+def empty_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
+    """Files of no bytes, which Spark's readers leave out; from the store's listing alone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listing, found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True), []
+    while listing.hasNext():
+        f = listing.next()
+        if f.getLen() == 0 and f.getPath().getName().endswith(suffix):
+            found.append(f.getPath().toString())
+    return found
+
+
+def broken_summaries(spark: SparkSession, folder: str, suffix: str = "_summary.json") -> DataFrame:
     """path, problem of summary files that are empty or no JSON."""
-    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*_summary.json").text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
+    rows = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").text(folder).select(F.col("_metadata.file_path").alias("path"), "value")
     problem = F.when(X.strip(F.col("value")) == "", F.lit("empty")).when(F.try_parse_json("value").isNull(), F.lit("corrupted"))
-    return rows.select("path", problem.alias("problem")).filter("problem IS NOT NULL")
+    bare = spark.createDataFrame([(p, "empty") for p in empty_files(spark, folder, suffix)], "path string, problem string")
+    return rows.select("path", problem.alias("problem")).filter("problem IS NOT NULL").unionByName(bare)
 
 
 def source_texts(files: DataFrame, *candidates: DataFrame) -> DataFrame:
