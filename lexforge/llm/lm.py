@@ -40,7 +40,7 @@ from lexforge.llm.common import binary_array, binary_data, ragged, slices, table
 #: Text of a block; the more, the fewer different (block, word) pairs are counted.
 BLOCK_BYTES = 24 << 20
 TOKENS, RARE, MEMBERS, HIDDEN = 1024, 32, 32, 16
-ROUNDS, LANES, WINDOW, RATE = 3, 256, 16, 0.01
+ROUNDS, LANES, WINDOW, RATE = 3, 512, 16, 0.01
 SCORE_LANES, SCORE_WINDOW = 512, 32
 END = 0
 #: Floats of the weights that are averaged together.
@@ -169,11 +169,11 @@ def bucket(word):
 
 
 class Weights:
-    """Named arrays over one flat vector of float32."""
+    """Named arrays over one flat vector of float32. Features come first, streams last, so every slice of features is contiguous."""
 
     def __init__(self, vocabulary: Vocabulary, flat: np.ndarray | None = None):
         k, c, h = vocabulary.classes * MEMBERS, vocabulary.classes, HIDDEN
-        shapes = {"e": (k, 3 * h), "u": (h, 3 * h), "wc": (h, c), "bc": (c,), "wm": (c, h, MEMBERS), "bm": (c, MEMBERS)}
+        shapes = {"e": (3 * h, k), "u": (3 * h, h), "wc": (c, h), "bc": (c, 1), "wm": (c, MEMBERS, h), "bm": (c, MEMBERS, 1)}
         total = sum(int(np.prod(s)) for s in shapes.values())
         self.flat = np.zeros(total, np.float32) if flat is None else flat
         at = 0
@@ -188,103 +188,145 @@ class Weights:
             mass = np.zeros(k)
             mass[: vocabulary.size] = vocabulary.counts + 0.1
             mass = mass.reshape(c, MEMBERS)
-            self.bc[...] = np.log(mass.sum(1) / mass.sum())
+            self.bc[:, 0] = np.log(mass.sum(1) / mass.sum())
             with np.errstate(divide="ignore"):
-                self.bm[...] = np.maximum(np.log(mass / mass.sum(1, keepdims=True)), -30)
+                self.bm[:, :, 0] = np.maximum(np.log(mass / mass.sum(1, keepdims=True)), -30)
+
+
+def _soft(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + |x|)."""
+    out = np.abs(x)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 def forward(w: Weights, inputs: np.ndarray, starts: np.ndarray, state: np.ndarray, keep: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """States after each of the steps (steps x lanes x HIDDEN), and the last. starts: 1 where a document begins."""
-    h, steps = HIDDEN, len(inputs)
-    out = np.empty((steps, *state.shape), np.float32)
-    given = w.e[inputs]
+    """States after each of the steps (HIDDEN x steps * lanes), and the last. starts: true where a document begins."""
+    h, (steps, lanes) = HIDDEN, inputs.shape
+    out = np.empty((h, steps * lanes), np.float32)
+    given = np.take(w.e, inputs.ravel(), axis=1)
+    fresh = starts.any(axis=1)
     for t in range(steps):
-        state = np.where(starts[t][:, None], np.float32(0), state)
-        z = state @ w.u
-        a = given[t, :, : 2 * h] + z[:, : 2 * h]
-        da = 1 / (1 + np.abs(a))
-        gates = 0.5 + 0.5 * a * da
-        b = given[t, :, 2 * h :] + gates[:, :h] * z[:, 2 * h :]
-        db = 1 / (1 + np.abs(b))
-        new = b * db
-        out[t] = new + gates[:, h:] * (state - new)
+        now = slice(t * lanes, (t + 1) * lanes)
+        if fresh[t]:
+            state = state * ~starts[t]
+        z = w.u @ state
+        a = given[: 2 * h, now] + z[: 2 * h]
+        da = _soft(a)
+        a *= da
+        a *= 0.5
+        a += 0.5  # the gates
+        b = a[:h] * z[2 * h :]
+        b += given[2 * h :, now]
+        db = _soft(b)
+        b *= db  # the new state
+        kept = state - b
         if keep is not None:
-            keep.append((state, z[:, 2 * h :], gates, da, new, db))
-        state = out[t]
+            keep.append((state, z[2 * h :], a, da, b, db))
+        kept *= a[h:]
+        kept += b
+        out[:, now] = kept
+        state = kept
     return out, state
 
 
+def _shifted(x: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=0)
+    return x
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
+    """Over the first axis, in place."""
+    np.exp(_shifted(x), out=x)
+    x *= np.reciprocal(x.sum(axis=0))
     return x
 
 
 def by_class(targets: np.ndarray, classes: int):
     """(order, bounds): positions sorted by class, and where each class begins."""
-    of = targets // MEMBERS
+    of = (targets // MEMBERS).astype(np.int16)
     order = np.argsort(of, kind="stable")
     return order, np.searchsorted(of[order], np.arange(classes + 1))
 
 
+def _chosen(x: np.ndarray, goal: np.ndarray) -> np.ndarray:
+    """ln of the softmax of each column at its goal."""
+    at = _shifted(x)[goal, np.arange(len(goal))]
+    return at - np.log(np.exp(x, out=x).sum(axis=0))
+
+
 def log_probabilities(w: Weights, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    """ln P of each target."""
-    n = np.arange(len(targets))
-    out = np.log(softmax(states @ w.wc + w.bc)[n, targets // MEMBERS])
+    """ln P of each target, by states (HIDDEN x targets)."""
+    out = _chosen(w.wc @ states + w.bc, targets // MEMBERS)
     order, bounds = by_class(targets, len(w.bc))
+    mine, member = np.take(states, order, axis=1), (targets % MEMBERS)[order]
+    rest = np.empty(len(targets), np.float32)
     for c in range(len(w.bc)):
-        at = order[bounds[c] : bounds[c + 1]]
-        if len(at):
-            out[at] += np.log(softmax(states[at] @ w.wm[c] + w.bm[c])[np.arange(len(at)), targets[at] % MEMBERS])
+        at = slice(bounds[c], bounds[c + 1])
+        if bounds[c] < bounds[c + 1]:
+            rest[at] = _chosen(w.wm[c] @ mine[:, at] + w.bm[c], member[at])
+    out[order] += rest
     return out
 
 
 def gradients(w: Weights, vocabulary: Vocabulary, inputs, starts, targets, state) -> tuple[Weights, np.ndarray, float]:
     """Of the mean of -ln P over a window, by backpropagation through its steps; the last state; the mean."""
     h, keep = HIDDEN, []
-    states, last = forward(w, inputs, starts, state, keep)
-    flat, goal = states.reshape(-1, h), targets.ravel()
+    flat, last = forward(w, inputs, starts, state, keep)
+    goal = targets.ravel()
     n = len(goal)
     g = Weights(vocabulary, np.zeros_like(w.flat))
-    p = softmax(flat @ w.wc + w.bc)
+    p = softmax(w.wc @ flat + w.bc)
     rows = np.arange(n)
-    loss = -np.log(np.maximum(p[rows, goal // MEMBERS], 1e-30)).sum()
-    p[rows, goal // MEMBERS] -= 1
-    p /= n
-    g.wc[...], g.bc[...] = flat.T @ p, p.sum(0)
-    d = p @ w.wc.T
+    loss = -np.log(np.maximum(p[goal // MEMBERS, rows], 1e-30)).sum()
+    p[goal // MEMBERS, rows] -= 1
+    p *= np.float32(1 / n)
+    g.wc[...], g.bc[:, 0] = p @ flat.T, p.sum(axis=1)
+    d = w.wc.T @ p
     order, bounds = by_class(goal, len(w.bc))
+    mine, member = np.take(flat, order, axis=1), (goal % MEMBERS)[order]
+    into = np.empty_like(mine)
     for c in range(len(w.bc)):
-        at = order[bounds[c] : bounds[c + 1]]
-        if len(at):
-            s = flat[at]
-            q = softmax(s @ w.wm[c] + w.bm[c])
-            mine = np.arange(len(at))
-            loss -= np.log(np.maximum(q[mine, goal[at] % MEMBERS], 1e-30)).sum()
-            q[mine, goal[at] % MEMBERS] -= 1
-            q /= n
-            g.wm[c], g.bm[c] = s.T @ q, q.sum(0)
-            d[at] += q @ w.wm[c].T
-    d = d.reshape(states.shape)
-    steps = len(inputs)
-    given = np.empty((steps, state.shape[0], 3 * h), np.float32)
+        at = slice(bounds[c], bounds[c + 1])
+        if bounds[c] < bounds[c + 1]:
+            s = mine[:, at]
+            q = softmax(w.wm[c] @ s + w.bm[c])
+            own = rows[: s.shape[1]]
+            loss -= np.log(np.maximum(q[member[at], own], 1e-30)).sum()
+            q[member[at], own] -= 1
+            q *= np.float32(1 / n)
+            g.wm[c], g.bm[c, :, 0] = q @ s.T, q.sum(axis=1)
+            into[:, at] = w.wm[c].T @ q
+    d[:, order] += into
+    steps, lanes = inputs.shape
+    given = np.empty((3 * h, n), np.float32)
     back = np.zeros_like(state)
+    step = np.empty((3 * h, lanes), np.float32)
     for t in range(steps - 1, -1, -1):
         before, zn, gates, da, new, db = keep[t]
-        top = d[t] + back
-        r, z = gates[:, :h], gates[:, h:]
-        dn = top * (1 - z) * db * db
-        dz = top * (before - new) * 0.5 * da[:, h:] ** 2
-        dr = dn * zn * 0.5 * da[:, :h] ** 2
-        given[t, :, :h], given[t, :, h : 2 * h], given[t, :, 2 * h :] = dr, dz, dn
-        into = np.concatenate([dr, dz, dn * r], axis=1)
-        g.u += before.T @ into
-        back = np.where(starts[t][:, None], np.float32(0), top * z + into @ w.u.T)
+        now = slice(t * lanes, (t + 1) * lanes)
+        top = d[:, now] + back
+        stay = top * gates[h:]
+        dn = top - stay
+        dn *= db
+        dn *= db
+        da *= da
+        da *= 0.5
+        step[:h] = dn * zn
+        step[h : 2 * h] = top * (before - new)
+        step[: 2 * h] *= da
+        step[2 * h :] = dn
+        given[:, now] = step
+        step[2 * h :] *= gates[:h]
+        g.u += step @ before.T
+        back = w.u.T @ step
+        back += stay
+        if starts[t].any():
+            back *= ~starts[t]
     ids = inputs.ravel()
-    by = np.argsort(ids, kind="stable")
+    by = np.argsort(ids.astype(np.int16) if vocabulary.size < 1 << 15 else ids, kind="stable")
     names, firsts = np.unique(ids[by], return_index=True)
-    g.e[names] = np.add.reduceat(given.reshape(n, 3 * h)[by], firsts, axis=0)
+    g.e[:, names] = np.add.reduceat(np.take(given, by, axis=1), firsts, axis=1)
     return g, last, float(loss) / n
 
 
@@ -293,7 +335,7 @@ def train(w: Weights, vocabulary: Vocabulary, tokens: np.ndarray, lengths: np.nd
     total = len(tokens)
     if not total:
         return
-    lanes = max(1, min(LANES, total // (2 * WINDOW)))
+    lanes = max(1, min(LANES, total // (64 * WINDOW)))  # windows in the dozens, in small parts too
     steps = total // lanes
     begins = np.zeros(total, bool)
     begins[np.cumsum(lengths) - lengths] = True
@@ -301,7 +343,7 @@ def train(w: Weights, vocabulary: Vocabulary, tokens: np.ndarray, lengths: np.nd
     cut = lambda x: x[: lanes * steps].reshape(lanes, steps).T
     inputs, goals, starts = cut(before), cut(tokens), cut(begins).copy()
     starts[0] = True
-    state = np.zeros((lanes, HIDDEN), np.float32)
+    state = np.zeros((HIDDEN, lanes), np.float32)
     for at in range(0, steps, WINDOW):
         g, state, _ = gradients(w, vocabulary, inputs[at : at + WINDOW], starts[at : at + WINDOW], goals[at : at + WINDOW], state)
         norm = float(np.sqrt((g.flat**2).sum()))
@@ -329,15 +371,16 @@ def likelihoods(w: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarr
     begins = np.zeros(len(tokens), bool)
     begins[firsts] = True
     before = np.where(begins, END, np.concatenate([[END], tokens[:-1]]))
-    state = np.zeros((len(lanes), HIDDEN), np.float32)
+    state = np.zeros((HIDDEN, len(lanes)), np.float32)
     for at in range(0, int(sizes.max()) if len(sizes) else 0, SCORE_WINDOW):
         live = int((sizes > at).sum())
         steps = min(SCORE_WINDOW, int(sizes[0]) - at)
         # a lane that ends within the window repeats its last place, which is left out below
         place = np.stack([x[np.minimum(np.arange(at, at + steps), len(x) - 1)] for x in places[:live]], axis=1)
         mine = np.arange(at, at + steps)[:, None] < sizes[None, :live]
-        states, last = forward(w, before[place], begins[place], state[:live])
-        out[place[mine]] = log_probabilities(w, states[mine], tokens[place[mine]])
+        states, last = forward(w, before[place], begins[place], state[:, :live])
+        kept = np.flatnonzero(mine)
+        out[place[mine]] = log_probabilities(w, states if len(kept) == mine.size else states[:, kept], tokens[place[mine]])
         state = last
     return out
 

@@ -121,8 +121,8 @@ def model():
 
 def test_probabilities_add_up_and_words_are_found():
     vocabulary, w = model()
-    state = np.random.default_rng(1).normal(size=(1, lm.HIDDEN)).astype(np.float32)
-    every = lm.log_probabilities(w, np.repeat(state, vocabulary.size, 0), np.arange(vocabulary.size))
+    state = np.random.default_rng(1).normal(size=(lm.HIDDEN, 1)).astype(np.float32)
+    every = lm.log_probabilities(w, np.repeat(state, vocabulary.size, 1), np.arange(vocabulary.size))
     assert abs(np.exp(every).sum() - 1) < 1e-4
     # shares of a rare bucket: its words and one unseen word
     token = np.array([vocabulary.rare[5]] * 3)
@@ -134,7 +134,7 @@ def test_gradients_are_those_of_differences():
     rng = np.random.default_rng(2)
     inputs, goals = rng.integers(0, vocabulary.size, (5, 3)), rng.integers(0, vocabulary.size, (5, 3))
     starts = rng.random((5, 3)) < 0.2
-    state = rng.normal(size=(3, lm.HIDDEN)).astype(np.float32)
+    state = rng.normal(size=(lm.HIDDEN, 3)).astype(np.float32)
     g, *_ = lm.gradients(w, vocabulary, inputs, starts, goals, state)
     loss = lambda x: lm.gradients(x, vocabulary, inputs, starts, goals, state)[2]
     for name in ("e", "u", "wc", "bc", "wm", "bm"):
@@ -156,8 +156,8 @@ def test_state_is_carried_through_whole_documents(monkeypatch):
     at = 0
     for n in lengths:
         mine = tokens[at : at + n]
-        states, _ = lm.forward(w, np.concatenate([[lm.END], mine[:-1]])[:, None], np.zeros((n, 1), bool), np.zeros((1, lm.HIDDEN), np.float32))
-        assert np.allclose(got[at : at + n], lm.log_probabilities(w, states[:, 0], mine), atol=1e-4)
+        states, _ = lm.forward(w, np.concatenate([[lm.END], mine[:-1]])[:, None], np.zeros((n, 1), bool), np.zeros((lm.HIDDEN, 1), np.float32))
+        assert np.allclose(got[at : at + n], lm.log_probabilities(w, states, mine), atol=1e-4)
         at += n
 
 
