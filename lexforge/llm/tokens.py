@@ -43,6 +43,11 @@ class PieceEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.keeps_space = keeps_space
+        #: Whether an id ends a word, where the vocabulary marks word ends.
+        self.word_ends: np.ndarray | None = None
+        if suffix := getattr(self.library.model, "end_of_word_suffix", None):
+            self.word_ends = np.zeros(self.library.get_vocab_size(), bool)
+            self.word_ends[[i for name, i in self.library.get_vocab().items() if name.endswith(suffix)]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -55,6 +60,8 @@ class PieceEncoder:
             self.clear()
         index = self.index
         unknown = [x for x in pieces if x not in index]
+        if self.word_ends is not None:
+            unknown = self._joined([x for x in unknown if x.isalpha()]) + [x for x in unknown if not x.isalpha()]
         for begin in range(0, len(unknown), 5000):
             part = unknown[begin : begin + 5000]
             for word, got in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
@@ -65,6 +72,23 @@ class PieceEncoder:
                 self.pool.extend(ids)
         return np.fromiter((index[x] for x in pieces), np.int64, count=len(pieces))
 
+    def _joined(self, words: list[str]) -> list[str]:
+        """Encodes words of letters many to a text, parted by the ids that end words; returns those left over."""
+        rest: list[str] = []
+        parts = [words[i : i + 500] for i in range(0, len(words), 500)]
+        for part, got in zip(parts, self.library.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False), strict=True):
+            ids = np.array(got.ids, np.int64)
+            ends = np.flatnonzero(self.word_ends[ids]) + 1
+            if len(ends) != len(part) or len(ids) != ends[-1]:
+                rest += part
+                continue
+            self.index.update(zip(part, range(len(self.starts), len(self.starts) + len(part)), strict=True))
+            lengths = np.diff(ends, prepend=0)
+            self.starts.extend((len(self.pool) + ends - lengths).tolist())
+            self.lengths.extend(lengths.tolist())
+            self.pool.extend(got.ids)
+        return rest
+
     def _by_pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.keeps_space:
             cut = pc.replace_substring(pc.replace_substring(texts, "\n", "\x00\n\x00"), " ", "\x00 ")
