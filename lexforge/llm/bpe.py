@@ -188,27 +188,39 @@ class WordBPE:
     def _matched(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return self.pairs.slots(a, b)
 
-    def merged(self, word: bytes) -> list[int]:
-        """Exact merging: the earliest merge first, from left to right."""
-        tokens = [int(self.inner[x]) for x in word[:-1]] + [int(self.last[word[-1]])]
-        while len(tokens) > 1:
-            t = np.array(tokens, np.int64)
-            at = self.pairs.slots(t[:-1], t[1:])
-            ranks = np.where(self.pairs.keys[at] == ((t[:-1] << 32) | t[1:]), self.pairs.rank[at], NEVER)
-            best = int(ranks.min())
-            if best >= NEVER:
-                break
-            made, out, i = int(self.pairs.made[at[int(ranks.argmin())]]), [], 0
-            hits = ranks == best
-            while i < len(tokens):
-                if i < len(tokens) - 1 and hits[i]:
-                    out.append(made)
-                    i += 2
-                else:
-                    out.append(tokens[i])
-                    i += 1
-            tokens = out
-        return tokens
+    def merged(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Exact merging of all words, side by side: (tokens, the number of each word's).
+
+        In a round every word takes its earliest merge, from left to right; a word
+        without one is done.
+        """
+        lengths = np.array([len(w) for w in words], np.int64)
+        data = np.frombuffer(b"".join(words), np.uint8)
+        tokens = self.inner[data]
+        ends = np.cumsum(lengths)
+        tokens[ends[lengths > 0] - 1] = self.last[data[ends[lengths > 0] - 1]]
+        of = np.repeat(np.arange(len(words)), lengths)
+        done_of, done_tokens = [], []
+        while len(tokens):
+            starts = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+            slot = np.append(self.pairs.slots(tokens[:-1], tokens[1:]), 0)
+            rank = self.pairs.rank[slot]
+            rank[np.append(starts[1:], len(tokens)) - 1] = NEVER  # the last token of a word has no pair
+            sizes = np.diff(np.append(starts, len(tokens)))
+            best = np.repeat(np.minimum.reduceat(rank, starts), sizes)
+            live = best < NEVER
+            done_of.append(of[~live])
+            done_tokens.append(tokens[~live])
+            at = np.flatnonzero(live & (rank == best))
+            # of hits side by side every other one, from the left
+            run = np.concatenate([[True], np.diff(at) > 1]) if len(at) else np.zeros(0, bool)
+            place = np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1] if len(at) else at
+            at = at[place % 2 == 0]
+            tokens[at] = self.pairs.made[slot[at]]
+            live[at + 1] = False
+            tokens, of = tokens[live], of[live]
+        order = np.argsort(np.concatenate(done_of), kind="stable") if done_of else np.zeros(0, np.int64)
+        return (np.concatenate(done_tokens)[order] if done_tokens else np.zeros(0, np.int64)), np.bincount(np.concatenate(done_of), minlength=len(words)) if done_of else np.zeros(len(words), np.int64)
 
     def encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Tokens of all words, and the number of each word's."""
@@ -223,9 +235,7 @@ class WordBPE:
         self.speculated, self.failed = getattr(self, "speculated", 0) + len(words), getattr(self, "failed", 0) + len(bad)
         if not len(bad):
             return tokens, counts
-        exact = {int(i): self.merged(words[i]) for i in bad}
-        fixed = np.fromiter((t for x in exact.values() for t in x), np.int64)
-        fixed_counts = np.array([len(x) for x in exact.values()], np.int64)
+        fixed, fixed_counts = self.merged([words[i] for i in bad])
         keep = np.ones(len(words), bool)
         keep[bad] = False
         new_counts = counts.copy()
