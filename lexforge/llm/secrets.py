@@ -5,7 +5,7 @@ credential, and reported only where complementary parts lie in one scope, that i
 with at most ``scope`` code points between them:
 
 - secret: 40 characters of a base64 alphabet with a digit, a capital and a small
-  letter; needs an access identifier (access, ident) or an endpoint in scope;
+  letter, also straight after '=' (KEY=VALUE files, URL parameters); needs an access identifier (access, ident) or an endpoint in scope;
 - ident: the value of a user, client or account id; needs a secret part (assign,
   hex, secret) in scope;
 - endpoint: a URL or a host with a port; needs both an access identifier and a
@@ -34,7 +34,7 @@ ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{32,}+"  # whole runs, as with [0-9a-f]+ and a length of 32 or more
 # The weak parts.
-SECRET = r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
+SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
 IDENT = r"""(?i:(?:client|account|user|access)_?(?:key_?)?(?:id|name))["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{4,})"""
 ENDPOINT = r"""https?://[^\s"'<>]{4,}|\b(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}:[0-9]{2,5}\b"""
 

@@ -193,3 +193,9 @@ def test_pipeline_stages(spark, labelled, tmp_path):
     assert seen["packing"] == seen["secret scans"] == seen["n-gram Jaccard join"]
     whole = packing.digest(corpus_pipeline.run(spark, str(tmp_path)).withColumn("boundary", F.lit(False)))
     assert whole.select("doc_id", "start", "length", "ids_crc32", "doc_tokens").exceptAll(docs.select("doc_id", "start", "length", "ids_crc32", "doc_tokens")).count() == 0
+
+
+def test_pipeline_masks_both_halves_of_a_credential(spark, tmp_path):
+    text = " ".join(f"k{k}" for k in range(40)) + "\nAWS_ACCESS_KEY_ID=AKIAABCDEFGHIJKL\nAWS_SECRET_ACCESS_KEY=aB3" + "x" * 37
+    out = corpus_pipeline.secrets_stage(spark, spark.createDataFrame([(903, text, "en", "s", 1)], SCHEMA), str(tmp_path)).first().text
+    assert out.endswith("\nAWS_[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]")

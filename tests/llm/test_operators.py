@@ -260,6 +260,18 @@ def test_parts_are_linked_within_scopes(spark):
     assert hidden[0][0] == '[SECRET]" and more' and hidden[6][0] == "é🙂 [SECRET] 🙂 [SECRET]z"
 
 
+def test_secrets_of_key_value_files(spark):
+    secret = "aB3" + "x" * 37
+    texts = [f"AWS_ACCESS_KEY_ID=AKIAABCDEFGHIJKL\nAWS_SECRET_ACCESS_KEY={secret}\n", f"AWS_SECRET_ACCESS_KEY={secret}\n", f"AKIAABCDEFGHIJKL {secret}= x", f"AKIAABCDEFGHIJKL token={secret}"]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    found = {r.doc_id: r.spans.split(",") for r in secrets.digest(secrets.scan(frame)).collect()}
+    at = texts[0].index(secret)
+    assert found[0] == ["ident:4:34", "access:18:34", f"secret:{at}:{at + 40}"]
+    assert found[1] == [""] and found[2] == ["access:0:16"] and [x.split(":")[0] for x in found[3]] == ["access", "assign"]
+    hidden = {r.doc_id: r.text for r in secrets.redacted(frame).collect()}
+    assert hidden[0] == "AWS_[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]\n" and hidden[1] == texts[1]
+
+
 # n-gram Jaccard join
 
 
