@@ -101,20 +101,30 @@ def similar_pairs(names: DataFrame, least: float = 0.5) -> DataFrame:
     return both.select("a", "b", F.round(similarity(F.col("ta"), F.col("tb")), 6).alias("score")).filter(F.col("score") >= least)
 
 
-def entities(spark: SparkSession, names: DataFrame, least: float = 0.6, rounds: int = 20) -> DataFrame:
-    """name, entity: exact keys, then sorted tokens, then similar names with fitting initials, joined by least labels."""
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root): the least node of each connected component, for the nodes of edges (a, b).
+
+    Links a node's larger neighbours, then its smaller ones, to its least neighbour,
+    until every node has one edge, to its root; the rounds grow with the logarithm of
+    a component's size, and nothing bounds them.
+    """
+    now = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    while now.groupBy("a").count().filter("count > 1").limit(1).count() or now.join(now.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count():
+        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
+        now = small.filter("a <> b").distinct().checkpoint()
+    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+def entities(spark: SparkSession, names: DataFrame, least: float = 0.6) -> DataFrame:
+    """name, entity: exact keys, then sorted tokens, then connected components of similar names with fitting initials, each named by its least form."""
     base = names.select("name", sorted_key(F.col("name")).alias("k")).distinct()
     forms = base.groupBy("k").agg(F.min("name").alias("form"))
     pairs = similar_pairs(forms.select(F.col("form").alias("name")), least)
     initials = lambda c: F.array_sort(F.transform(F.split(key(F.col(c)), " "), lambda w: F.substring(w, 1, 1)))
     links = pairs.filter(F.size(F.array_intersect(initials("a"), initials("b"))) == F.least(F.size(initials("a")), F.size(initials("b")))).select("a", "b")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).checkpoint()
-    label = forms.select(F.col("form").alias("name"), F.col("form").alias("entity")).checkpoint()
-    for _ in range(rounds):
-        near = both.join(label, both.a == label.name).groupBy("b").agg(F.min("entity").alias("_near"))
-        new = label.join(near, label.name == near.b, "left").select("name", F.least("entity", F.coalesce("_near", "entity")).alias("entity")).checkpoint()
-        changed = new.join(label.withColumnRenamed("entity", "_old"), "name").filter("entity <> _old").limit(1).count()
-        label = new
-        if not changed:
-            break
-    return base.join(forms, "k").join(label.withColumnRenamed("name", "form"), "form").select("name", "entity")
+    roots = components(links).select(F.col("node").alias("form"), "root")
+    return base.join(forms, "k").join(roots, "form", "left").select("name", F.coalesce("root", "form").alias("entity"))

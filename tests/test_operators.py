@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -180,6 +181,15 @@ def test_search(spark):
     assert groups["Mara Venn"] == groups["VENN, MARA"] == groups["Mara Vann"] != groups["Otto Lind"]
 
 
+def test_entities_of_long_chains(spark):
+    rng = random.Random(5)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(310))
+    names = ["M" + letters[4 * i : 4 * i + 30] for i in range(70)]  # each similar to its neighbours alone
+    rows = spark.createDataFrame([(x,) for x in [*names, "Otto Lind"]], "name string")
+    assert {(r.a, r.b) for r in search.similar_pairs(rows, 0.6).collect()} == {tuple(sorted(x)) for x in zip(names, names[1:])}
+    assert {r.name: r.entity for r in search.entities(spark, rows).collect()} == dict.fromkeys(names, min(names)) | {"Otto Lind": "Otto Lind"}
+
+
 def test_pipeline_names_are_borne_out(docs):
     found = pipeline.tier_one(docs)
     for r in pipeline.tier_two(docs, found).collect():
