@@ -161,6 +161,15 @@ def test_state_is_carried_through_whole_documents(monkeypatch):
         at += n
 
 
+def test_updates_of_a_full_part(monkeypatch):
+    vocabulary, w = model()
+    seen = []
+    monkeypatch.setattr(lm, "gradients", lambda w, v, inputs, starts, goals, state, *more: (seen.append(goals.shape), (lm.Weights(v, np.zeros_like(w.flat)), state, 0.0))[1])
+    tokens = np.ones(256 * 2048, np.int64)
+    lm.train(w, vocabulary, tokens, np.array([len(tokens)]), [np.zeros_like(w.flat), np.zeros_like(w.flat), 0])
+    assert seen == [(16, 256)] * 128
+
+
 def test_codes_as_planes():
     codes = np.array([0, 1, 255, 256, 70_000, 2**31 - 1])
     assert (lm.from_planes(lm.planes(codes)) == codes).all()
