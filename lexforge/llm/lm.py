@@ -269,18 +269,21 @@ def log_probabilities(w: Weights, states: np.ndarray, targets: np.ndarray) -> np
     return out
 
 
-def gradients(w: Weights, vocabulary: Vocabulary, inputs, starts, targets, state) -> tuple[Weights, np.ndarray, float]:
-    """Of the mean of -ln P over a window, by backpropagation through its steps; the last state; the mean."""
+def gradients(w: Weights, vocabulary: Vocabulary, inputs, starts, targets, state, live: np.ndarray | None = None) -> tuple[Weights, np.ndarray, float]:
+    """Of the mean of -ln P over a window, by backpropagation through its steps; the last state; the mean. live: the places that count, else all."""
     h, keep = HIDDEN, []
     flat, last = forward(w, inputs, starts, state, keep)
     goal = targets.ravel()
     n = len(goal)
+    counted = np.ones(n, bool) if live is None else live.ravel()
+    total = int(counted.sum())
+    scale = counted * np.float32(1 / total)
     g = Weights(vocabulary, np.zeros_like(w.flat))
     p = softmax(w.wc @ flat + w.bc)
     rows = np.arange(n)
-    loss = -np.log(np.maximum(p[goal // MEMBERS, rows], 1e-30)).sum()
+    loss = -np.log(np.maximum(p[goal // MEMBERS, rows], 1e-30))[counted].sum()
     p[goal // MEMBERS, rows] -= 1
-    p *= np.float32(1 / n)
+    p *= scale
     g.wc[...], g.bc[:, 0] = p @ flat.T, p.sum(axis=1)
     d = w.wc.T @ p
     order, bounds = by_class(goal, len(w.bc))
@@ -292,9 +295,9 @@ def gradients(w: Weights, vocabulary: Vocabulary, inputs, starts, targets, state
             s = mine[:, at]
             q = softmax(w.wm[c] @ s + w.bm[c])
             own = rows[: s.shape[1]]
-            loss -= np.log(np.maximum(q[member[at], own], 1e-30)).sum()
+            loss -= np.log(np.maximum(q[member[at], own], 1e-30))[counted[order[at]]].sum()
             q[member[at], own] -= 1
-            q *= np.float32(1 / n)
+            q *= scale[order[at]]
             g.wm[c], g.bm[c, :, 0] = q @ s.T, q.sum(axis=1)
             into[:, at] = w.wm[c].T @ q
     d[:, order] += into
@@ -327,7 +330,7 @@ def gradients(w: Weights, vocabulary: Vocabulary, inputs, starts, targets, state
     by = np.argsort(ids.astype(np.int16) if vocabulary.size < 1 << 15 else ids, kind="stable")
     names, firsts = np.unique(ids[by], return_index=True)
     g.e[:, names] = np.add.reduceat(np.take(given, by, axis=1), firsts, axis=1)
-    return g, last, float(loss) / n
+    return g, last, float(loss) / total
 
 
 def train(w: Weights, vocabulary: Vocabulary, tokens: np.ndarray, lengths: np.ndarray, moments: list) -> None:
@@ -336,16 +339,20 @@ def train(w: Weights, vocabulary: Vocabulary, tokens: np.ndarray, lengths: np.nd
     if not total:
         return
     lanes = max(1, min(LANES, total // (64 * WINDOW)))  # windows in the dozens, in small parts too
-    steps = total // lanes
+    steps = -(-total // lanes)
     begins = np.zeros(total, bool)
     begins[np.cumsum(lengths) - lengths] = True
     before = np.concatenate([[END], tokens[:-1]])
-    cut = lambda x: x[: lanes * steps].reshape(lanes, steps).T
-    inputs, goals, starts = cut(before), cut(tokens), cut(begins).copy()
-    starts[0] = True
+    # no token is left out: the streams' lengths differ by one at most, and what fills up the last step doesn't count
+    sizes = np.full(lanes, total // lanes) + (np.arange(lanes) < total % lanes)
+    firsts = np.cumsum(sizes) - sizes
+    begins[firsts] = True
     state = np.zeros((HIDDEN, lanes), np.float32)
     for at in range(0, steps, WINDOW):
-        g, state, _ = gradients(w, vocabulary, inputs[at : at + WINDOW], starts[at : at + WINDOW], goals[at : at + WINDOW], state)
+        step = np.arange(at, min(at + WINDOW, steps))[:, None]
+        live = step < sizes
+        place = firsts + np.minimum(step, sizes - 1)
+        g, state, _ = gradients(w, vocabulary, before[place], begins[place], tokens[place], state, None if live.all() else live)
         norm = float(np.sqrt((g.flat**2).sum()))
         x = g.flat * np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
         moments[2] += 1

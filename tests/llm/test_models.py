@@ -170,6 +170,27 @@ def test_updates_of_a_full_part(monkeypatch):
     assert seen == [(16, 256)] * 128
 
 
+def test_no_training_token_is_left_out(monkeypatch):
+    vocabulary, w = model()
+    rng = np.random.default_rng(6)
+    monkeypatch.setattr(lm, "LANES", 5)
+    for total in (1, 5 * 1024, 5 * 1024 + 3, 5 * 1040 + 4):
+        tokens = rng.integers(0, vocabulary.size, total)
+        seen, true = [], lm.gradients
+        monkeypatch.setattr(lm, "gradients", lambda w, v, i, s, goals, state, live=None, seen=seen, true=true: (seen.extend(goals.ravel() if live is None else goals[live]), true(w, v, i, s, goals, state, live))[1])
+        lm.train(lm.Weights(vocabulary), vocabulary, tokens, np.array([total]), [np.zeros_like(w.flat), np.zeros_like(w.flat), 0])
+        monkeypatch.setattr(lm, "gradients", true)
+        assert Counter(seen) == Counter(tokens.tolist())
+    # what doesn't count changes nothing
+    inputs, goals, starts = rng.integers(0, vocabulary.size, (5, 3)), rng.integers(0, vocabulary.size, (5, 3)), np.zeros((5, 3), bool)
+    live, state = np.ones((5, 3), bool), np.zeros((lm.HIDDEN, 3), np.float32)
+    live[4, 1:] = False
+    one = lm.gradients(w, vocabulary, inputs, starts, goals, state, live)
+    inputs[4, 1:], goals[4, 1:] = 1, 2
+    two = lm.gradients(w, vocabulary, inputs, starts, goals, state, live)
+    assert np.allclose(one[0].flat, two[0].flat, atol=1e-6) and abs(one[2] - two[2]) < 1e-5
+
+
 def test_codes_as_planes():
     codes = np.array([0, 1, 255, 256, 70_000, 2**31 - 1])
     assert (lm.from_planes(lm.planes(codes)) == codes).all()
