@@ -3,7 +3,7 @@
 Documents are dealt into ranges of (doc_id, hash of the text), sorted, and encoded
 where they come to lie. The ids of a task are cut into shards of whole documents.
 For each shard, frequent pairs of neighbouring ids are replaced by nonterminals,
-round after round, until a round gains little. A pair never crosses the end of a
+round after round, until no pair is frequent or a round gains little. A pair never crosses the end of a
 document, so a document is a slice of the shard's sequence.
 
 A file holds a row a shard: its ``rules`` (pairs of ids, the n-th makes the id
@@ -31,8 +31,8 @@ from lexforge.llm.tokens import encoder, vocabulary_path, with_end
 SHARDS = "part int, shard int, local_start long, n_ids long, first int, rules binary, expanded binary, sequence binary, doc_ids array<long>, doc_tokens binary, doc_symbols binary"
 DOCUMENTS = "part int, local_start long, doc_id long, n_tokens long, ids binary"
 
-#: Rounds of replacement, pairs replaced in a round, the least count of a pair, and the least gain that earns another round.
-ROUNDS, ROUND_PAIRS, LEAST_COUNT, LEAST_GAIN = 4, 4096, 16, 0.02
+#: Pairs replaced in a round, the least count of a pair, and the least gain that earns another round.
+ROUND_PAIRS, LEAST_COUNT, LEAST_GAIN = 4096, 16, 0.02
 _HASH_BITS = 20
 
 
@@ -43,9 +43,7 @@ def compress(ids: np.ndarray, counts: np.ndarray, first: int) -> tuple[np.ndarra
     ends[np.cumsum(counts)[counts > 0] - 1] = True
     rules: list[np.ndarray] = []
     made = first
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         keys = (seq[:-1] << 31) | seq[1:]
         slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
         slot[ends[:-1]] = 1 << _HASH_BITS  # no pair across a document's end
@@ -54,10 +52,13 @@ def compress(ids: np.ndarray, counts: np.ndarray, first: int) -> tuple[np.ndarra
         least = LEAST_COUNT
         if np.count_nonzero(seen >= least) > ROUND_PAIRS:
             least = max(least, int(np.partition(seen, len(seen) - ROUND_PAIRS)[len(seen) - ROUND_PAIRS]))
-        at = np.flatnonzero(seen[slot] >= least)
-        pairs, which, n = np.unique(keys[at], return_inverse=True, return_counts=True)
-        good = n >= least
-        at, which = at[good[which]], which[good[which]]
+        for limit in dict.fromkeys((least, LEAST_COUNT)):  # slots that reach the higher limit may do so by rare pairs together
+            at = np.flatnonzero(seen[slot] >= limit)
+            pairs, which, n = np.unique(keys[at], return_inverse=True, return_counts=True)
+            good = n >= limit
+            at, which = at[good[which]], which[good[which]]
+            if len(at):
+                break
         if not len(at):
             break
         # of overlapping pairs every other one counts, from the left of a run

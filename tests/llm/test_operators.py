@@ -183,6 +183,15 @@ def test_grammar_round_trip_and_gain():
     assert len(repair.compress(np.zeros(5000, np.uint32), np.array([5000]), 50_000)[2]) < 500
 
 
+def test_long_passages_become_few_symbols():
+    rng = np.random.default_rng(8)
+    passage = rng.permutation(40_000)[:512].astype(np.uint32)
+    ids = np.concatenate([np.concatenate([passage, rng.integers(0, 40_000, 3).astype(np.uint32)]) for _ in range(100)])
+    rules, expanded, seq, symbols = repair.compress(ids, np.array([len(ids)]), 50_000)
+    assert (repair.Grammar(rules, expanded, 50_000).expand(seq) == ids).all() and symbols.sum() == len(seq)
+    assert expanded.max() > 16 and len(seq) < 100 * 16
+
+
 # top-k search
 
 
