@@ -177,7 +177,7 @@ def test_no_training_token_is_left_out(monkeypatch):
     for total in (1, 5 * 1024, 5 * 1024 + 3, 5 * 1040 + 4):
         tokens = rng.integers(0, vocabulary.size, total)
         seen, true = [], lm.gradients
-        monkeypatch.setattr(lm, "gradients", lambda w, v, i, s, goals, state, live=None, seen=seen, true=true: (seen.extend(goals.ravel() if live is None else goals[live]), true(w, v, i, s, goals, state, live))[1])
+        monkeypatch.setattr(lm, "gradients", lambda w, v, i, s, goals, state, *live, seen=seen, true=true: (seen.extend(goals.ravel() if not live or live[0] is None else goals[live[0]]), true(w, v, i, s, goals, state, *live))[1])
         lm.train(lm.Weights(vocabulary), vocabulary, tokens, np.array([total]), [np.zeros_like(w.flat), np.zeros_like(w.flat), 0])
         monkeypatch.setattr(lm, "gradients", true)
         assert Counter(seen) == Counter(tokens.tolist())
