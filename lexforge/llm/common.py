@@ -44,6 +44,14 @@ def clear_written(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def bounded_broadcast(small: DataFrame, most_rows: int) -> DataFrame:
     """``small`` with a broadcast hint if it has at most ``most_rows`` rows, else as it is (shuffle join)."""
     return F.broadcast(small) if small.limit(most_rows + 1).count() <= most_rows else small

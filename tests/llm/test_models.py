@@ -4,80 +4,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 import corpus_pipeline
-from lexforge.llm import lm, packing, toxicity
+from lexforge.llm import lm, packing
 from tests.llm.conftest import SCHEMA
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-LABELS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("quality", T.IntegerType()), T.StructField("toxic", T.IntegerType())])
-
-
-# toxicity
-
-
-@pytest.mark.parametrize(
-    "text,expected",
-    [
-        ("", {}), ("Nothing here.", {}), ("The dog is stupid.", {"i": 1}), ("You are an idiot!", {"a": 1}), ("You are not an idiot", {"d": 1}),
-        ("She said that an idiot wrote", {"q": 1}), ("idiot. trash; scum\nloser", {"i": 4}), ("I will kill you", {"x": 1}), ("kill the lights", {}), ("they will destroy it all day", {"x": 1}),
-        ("it is going to burn", {"t": 1}), ("we will not hurt anyone", {"d": 1}), ("Idiot2 idiot_x", {"i": 2}), ("idiotic éidiot", {}), ("pathetic worthless clown, you", {"i": 1, "a": 1}),
-    ],
-)
-def test_events_of_clauses(text, expected):
-    got = dict(zip(toxicity.EVENTS, toxicity.events(text).astype(int).tolist(), strict=True))
-    if text == "pathetic worthless clown, you":
-        assert got["a"] == 1 and got["i"] + got["a"] == 3
-    else:
-        assert {k: v for k, v in got.items() if v} == expected
-
-
-def test_composition_is_one_after_another():
-    rng = np.random.default_rng(0)
-    parts = [toxicity.reported(), toxicity.negation(), toxicity.threat(), toxicity.target()]
-    whole = toxicity.grammar()
-    for _ in range(500):
-        signs = "".join(rng.choice(list("IHWTNRO"), rng.integers(0, 12)))
-        step = signs
-        for p in parts:
-            step = p.run(step)
-        assert whole.run(signs) == step
-
-
-@pytest.fixture
-def labelled(spark, docs):
-    rng = np.random.default_rng(7)
-    rows, labels = [], []
-    for i in range(100, 500):
-        words = [f"w{x}" for x in rng.integers(0, 50, 30)]
-        toxic = i % 4 == 0
-        if toxic:
-            for at in rng.integers(0, 30, 3):
-                words[at] = str(rng.choice(["idiot", "scum", "trash"]))
-        rows.append((i, " ".join(words), "en", "s", 1))
-        labels.append((i, 1, int(toxic)))
-    labels += [(1, 0, 0), (None, 0, 1), (2, None, None), (9999, 1, 1)]
-    return spark.createDataFrame(rows, SCHEMA).unionByName(docs), spark.createDataFrame(labels, LABELS)
-
-
-def test_scores_on_held_out_documents(labelled, spark, empty):
-    frame, labels = labelled
-    got = toxicity.scored(frame.withColumn("counts", F.lit("x")), labels).collect()
-    assert len(got) == frame.count()
-    for r in got:
-        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 3 == 1)
-        assert 0 < r.score < 1 and r.predicted == int(r.score >= 0.7)
-    held = [(r.doc_id % 4 == 0, r.predicted) for r in got if r.held_out and r.doc_id >= 100]
-    assert held and all(toxic == bool(p) for toxic, p in held)
-    # the weights don't see held-out labels
-    flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic")))
-    assert (toxicity.learned(frame, flipped) == toxicity.learned(frame, labels)).all()
-    assert toxicity.scored(empty, labels).count() == 0 and (toxicity.learned(frame, labels.limit(0)) == toxicity.PRIOR).all()
-    kept = Counter(toxicity.filtered(frame, labels).select("doc_id", "text").collect())
-    assert kept == Counter((r.doc_id, r.text) for r in frame.collect() if not (r.doc_id or 0) >= 100 or r.doc_id % 4)
 
 
 # language model
