@@ -73,6 +73,8 @@ LEAST_DOCS, LEAST_ODDS, LEAST_RATIO = 4, 1.0, 24.0
 #: The size of the model: the entries with the strongest association.
 MOST_ENTRIES = 50_000
 FOLDS = 4
+#: Bytes of text at a time; a longer text stands alone.
+LEARN_BYTES, SCORE_BYTES = 2 << 20, 6 << 20
 #: The most labelled rows that fitting reads, the least hashes of their ids; a documented bound.
 MOST_LABELLED = 50_000
 
@@ -238,7 +240,7 @@ def events(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
     totals = np.zeros((len(texts), len(EVENTS)))
     if not _MACHINE:
         _MACHINE.append(grammar())
-    for i, j in slices(texts):
+    for i, j in slices(texts, SCORE_BYTES):
         codes, sizes, names = tokens(texts.slice(i, j - i))
         signs, weights = zip(*map(lexicon.sign, names), strict=True) if names else ((), ())
         evil = np.array([s in "IH" for s in signs], bool)
@@ -279,10 +281,9 @@ def entry_counts(texts: pa.Array, kinds: np.ndarray, n_kinds: int) -> tuple[list
     lengths = np.array([len(x) for x in lists], np.int64)
     flat = np.concatenate([np.array(x, np.int64) for x in lists])
     starts = np.cumsum(lengths) - lengths
-    seen, number = np.unique(np.stack([text, words]), axis=1, return_counts=True) if len(words) else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
+    of_text, of_word = np.divmod(np.unique(text * len(names) + words), len(names))
     out = np.zeros((len(places), n_kinds + 2), np.int64)
-    entry = flat[ragged(starts[seen[1]], lengths[seen[1]])]
-    pair = np.unique(entry * len(texts) + np.repeat(seen[0], lengths[seen[1]]))
+    pair = np.unique(flat[ragged(starts[of_word], lengths[of_word])] * len(texts) + np.repeat(of_text, lengths[of_word]))
     np.add.at(out, (pair // len(texts), kinds[pair % len(texts)]), 1)
     for column, use in ((n_kinds, np.ones(len(words), bool)), (n_kinds + 1, after)):
         toxic = kinds[text] % 2 == 1
@@ -371,7 +372,7 @@ def learned(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Mo
     def count(batches):
         for batch in batches:
             texts, kind = text_column(batch), np.asarray(batch.column("kind"), dtype=np.int64)
-            for i, j in slices(texts):
+            for i, j in slices(texts, LEARN_BYTES):
                 names, counts = entry_counts(texts.slice(i, j - i), kind[i:j], n_kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array(counts[:, k]) for k in range(n_kinds + 2))], ["entry", *columns])
 
