@@ -22,9 +22,12 @@ sums to the weight of the longest entry that the word begins with. An entry that
 mostly follows intent in toxic texts is a harm, any other an insult. A small fixed
 lexicon holds the closed classes, and insults for which no label was seen.
 
-The scale of every kind of event is fitted by logistic regression over the labelled
-texts' events, where a text's events come from entries learned on the other folds; so
-a score is a probability of the label, and not of having been seen.
+The scale of every kind of event, and of the text's length, is fitted by logistic
+regression over the labelled texts' events, where a text's events come from entries
+learned on the other folds; so a score is a probability of the label, and not of
+having been seen. Near copies would make each of their words an entry: labelled texts
+that share a MinHash value of their word 5-grams are a family, the toxic and the clean
+texts of a family weigh as much as one text each, and a family is in one fold.
 
 Defined cases: null and empty texts have no clause and score the bias; texts are
 scored row by row, whatever repeats; a text of any length is read whole, in time
@@ -39,7 +42,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import fresh, ragged, slices, table, text_column, written
+from lexforge.llm.common import bounded_broadcast, fresh, ragged, slices, table, text_column, written
+from lexforge.llm.jaccard import n_grams, signatures
 
 # The lexicon, by sign. I insult, H harm, W intent, T target, N negation, R reported speech.
 LEXICON = {
@@ -61,8 +65,8 @@ EVENTS = "iadqtx"
 REPORTED, DENIED, THREAT, AIMED = 0.25, 0.25, 1.5, 1.5
 #: The weight of a word of the fixed lexicon, as long as labels say nothing of it.
 FIXED_WEIGHT = 4.0
-#: Weights before any label is seen: the bias, then one for each kind of event.
-PRIOR = np.array([-3.0, 2.0, 2.0, 1.0, 1.0, 2.0, 2.0])
+#: Weights before any label is seen: the bias, then one for each kind of event, then the text's length.
+PRIOR = np.array([-3.0, 2.0, 2.0, 1.0, 1.0, 2.0, 2.0, 0.0])
 REACH = 3
 #: Events of the sign that is held; they have the weight of its path, not of the path at hand.
 HELD = "iatx"
@@ -73,6 +77,8 @@ LEAST_DOCS, LEAST_ODDS, LEAST_RATIO = 4, 1.0, 24.0
 #: The size of the model: the entries with the strongest association.
 MOST_ENTRIES = 50_000
 FOLDS = 4
+#: MinHash values of a labelled text, by which families are found; the weight of a family's label.
+SKETCHES, UNIT = 6, 1 << 30
 #: Bytes of text at a time; a longer text stands alone.
 LEARN_BYTES, SCORE_BYTES = 2 << 20, 6 << 20
 #: The most labelled rows that fitting reads, the least hashes of their ids; a documented bound.
@@ -236,23 +242,23 @@ _MACHINE: list[Transducer] = []
 
 
 def events(texts: pa.Array, lexicon: Lexicon) -> np.ndarray:
-    """The weight of EVENTS over the clauses of each text."""
-    totals = np.zeros((len(texts), len(EVENTS)))
+    """The weight of EVENTS over the clauses of each text, and its number of words."""
+    totals = np.zeros((len(texts), len(EVENTS) + 1))
     if not _MACHINE:
         _MACHINE.append(grammar())
     for i, j in slices(texts, SCORE_BYTES):
         codes, sizes, names = tokens(texts.slice(i, j - i))
-        signs, weights = zip(*map(lexicon.sign, names), strict=True) if names else ((), ())
+        if not len(codes):
+            continue
+        signs, weights = zip(*map(lexicon.sign, names), strict=True)
         evil = np.array([s in "IH" for s in signs], bool)
         ends = np.array([x == "." for x in names], bool)
-        if not len(codes) or not evil.any():
-            continue
         text = np.repeat(np.arange(i, j), sizes)
+        totals[i:j, -1] = np.bincount(text[~ends[codes]] - i, minlength=j - i)
         begins = np.concatenate([[True], ends[codes[:-1]] | (text[1:] != text[:-1])])
         clause = np.cumsum(begins) - 1
-        matched = np.unique(clause[evil[codes]])
         firsts = np.append(np.flatnonzero(begins), len(codes))
-        for c in matched.tolist():
+        for c in np.unique(clause[evil[codes]]).tolist():
             # the end itself is no word; it comes last in its clause
             here = [k for k in codes[firsts[c] : firsts[c + 1]].tolist() if names[k] != "."]
             _MACHINE[0].run([signs[k] for k in here], [weights[k] for k in here], totals[text[firsts[c]]])
@@ -263,8 +269,8 @@ def entries_of(word: str) -> list[str]:
     return [word, *(word[:k] + "-" for k in range(SHORTEST, min(LONGEST, len(word) - 1) + 1))]
 
 
-def entry_counts(texts: pa.Array, kinds: np.ndarray, n_kinds: int) -> tuple[list[str], np.ndarray]:
-    """Entries, and for each: documents with it of each kind; its words in all, and those after intent in a clause."""
+def entry_counts(texts: pa.Array, kinds: np.ndarray, units: np.ndarray, n_kinds: int) -> tuple[list[str], np.ndarray]:
+    """Entries, and for each: units of the texts with it, by kind; its words in toxic texts, in units, and those after intent in a clause."""
     codes, sizes, names = tokens(texts)
     if not len(codes):
         return [], np.zeros((0, n_kinds + 2), np.int64)
@@ -284,11 +290,13 @@ def entry_counts(texts: pa.Array, kinds: np.ndarray, n_kinds: int) -> tuple[list
     of_text, of_word = np.divmod(np.unique(text * len(names) + words), len(names))
     out = np.zeros((len(places), n_kinds + 2), np.int64)
     pair = np.unique(flat[ragged(starts[of_word], lengths[of_word])] * len(texts) + np.repeat(of_text, lengths[of_word]))
-    np.add.at(out, (pair // len(texts), kinds[pair % len(texts)]), 1)
-    for column, use in ((n_kinds, np.ones(len(words), bool)), (n_kinds + 1, after)):
-        toxic = kinds[text] % 2 == 1
-        by_word = np.bincount(words[use & toxic], minlength=len(names))
-        out[:, column] = np.bincount(flat, np.repeat(by_word, lengths), minlength=len(places))
+    entry, text_of = np.divmod(pair, len(texts))
+    np.add.at(out, (entry, kinds[text_of]), units[text_of])
+    toxic = kinds[text] % 2 == 1
+    for column, use in ((n_kinds, toxic), (n_kinds + 1, toxic & after)):
+        by_word = np.zeros(len(names), np.int64)
+        np.add.at(by_word, words[use], units[text[use]])
+        np.add.at(out[:, column], flat, np.repeat(by_word, lengths))
     some = out[:, :n_kinds].sum(1) > 0
     entries = list(places)
     return [entries[k] for k in np.flatnonzero(some)], out[some]
@@ -305,7 +313,7 @@ def likelihood_ratio(a, b, toxic, clean) -> np.ndarray:
 
 
 def lexicon_of(names: list[str], counts: np.ndarray, after: np.ndarray, kinds: np.ndarray) -> Lexicon:
-    """counts: (entry, clean and toxic); after: (entry, words in toxic texts and those after intent); kinds: documents, clean and toxic."""
+    """counts: (entry, clean and toxic); after: (entry, words in toxic texts and those after intent); kinds: texts, clean and toxic."""
     b, a = counts[:, 0], counts[:, 1]
     odds = np.log((a + 0.5) / (kinds[1] + 1)) - np.log((b + 0.5) / (kinds[0] + 1))
     good = (a >= LEAST_DOCS) & (odds >= LEAST_ODDS) & (likelihood_ratio(a, b, kinds[1], kinds[0]) >= LEAST_RATIO)
@@ -315,22 +323,29 @@ def lexicon_of(names: list[str], counts: np.ndarray, after: np.ndarray, kinds: n
 
 
 def features(totals: np.ndarray) -> np.ndarray:
-    """1, and the logarithm of each kind's weight."""
+    """1, and the logarithm of each kind's weight and of the words."""
     return np.concatenate([np.ones((len(totals), 1)), np.log1p(totals)], axis=1)
 
 
-def fit(totals: np.ndarray, labels: np.ndarray, strength: float = 1.0, steps: int = 50) -> np.ndarray:
-    """Weights by Newton's method, pulled towards PRIOR as ``strength`` rows would."""
+def fit(totals: np.ndarray, labels: np.ndarray, rows: np.ndarray, strength: float = 1.0, steps: int = 100) -> np.ndarray:
+    """Weights of texts that count as ``rows`` texts each, by Newton's method, pulled towards PRIOR as ``strength`` rows would; a step is halved until it lowers the loss."""
     x, y, w = features(totals), labels.astype(float), PRIOR.copy()
-    pull = np.diag([0.1] + [strength] * len(EVENTS))
+    pull = np.diag([0.1] + [strength] * (len(PRIOR) - 1))
+
+    def loss(w):
+        z = x @ w
+        return np.sum(rows * (np.logaddexp(0, z) - y * z)) + (w - PRIOR) @ pull @ (w - PRIOR) / 2
+
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + pull @ (w - PRIOR)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + pull
-        step = np.linalg.solve(hessian, gradient)
-        w = w - step
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -700, 700)))
+        gradient = x.T @ (rows * (p - y)) + pull @ (w - PRIOR)
+        hessian = (x * (rows * p * (1 - p))[:, None]).T @ x + pull
+        step, now = np.linalg.solve(hessian, gradient), loss(w)
+        while np.abs(step).max() >= 1e-9 and not loss(w - step) <= now:
+            step = step / 2
         if np.abs(step).max() < 1e-9:
             break
+        w = w - step
     return w
 
 
@@ -345,7 +360,7 @@ class Model:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """text, kind (twice the fold, and the label) of labelled documents whose crc32(doc_id) mod 3 isn't 1, at most ``most`` labels."""
+    """text, kind (twice the fold, and the label), units of labelled documents whose crc32(doc_id) mod 3 isn't 1, at most ``most`` labels."""
     rows = labels.select(F.col("doc_id").cast("long").alias("of"), F.col("toxic").cast("int").alias("label")).filter(F.col("label").isin(0, 1) & ~held_out(F.col("of")))
     if (n := rows.count()) > most:
         # about twice as many rows as are wanted go on to the sort, however many there are
@@ -353,56 +368,70 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     rows = rows.orderBy(F.xxhash64("of"), "of", "label").limit(most)
     # at most ``most`` rows of 12 bytes: a proven bound for the broadcast
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    of_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    # equal texts are in one fold
-    fold = F.pmod(F.xxhash64("text"), F.lit(FOLDS))
-    return of_docs.join(F.broadcast(rows), F.col("doc_id") == F.col("of")).select("text", (2 * fold + F.col("label")).cast("int").alias("kind"))
+    of_docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(rows), F.col("doc_id") == F.col("of"))
+
+    def sketch(batches):
+        for batch in batches:
+            texts = text_column(batch)
+            for i, j in slices(texts, LEARN_BYTES):
+                values = signatures(*n_grams(texts.slice(i, j - i)), SKETCHES, 1)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * SKETCHES), pa.array(values.ravel()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(i, j - i) for c in ("row", "text", "label")), lists], ["row", "text", "label", "sketches"])
+
+    texts = written(of_docs.select(F.monotonically_increasing_id().alias("row"), "text", "label").mapInArrow(sketch, "row long, text string, label int, sketches array<long>"), "labelled-texts")
+    values = texts.select("row", "label", F.posexplode("sketches").alias("place", "value"))
+    common = values.groupBy("place", "value").agg(F.count(F.lit(1)).alias("n"))
+    families = values.join(common, ["place", "value"]).groupBy("row", "label").agg(F.max(F.struct("n", "place", "value")).alias("best")).select("row", "label", F.xxhash64("best.place", "best.value").alias("family"))
+    # as many rows as labelled documents: one for each id and label, unless ids repeat
+    families = written(families.join(families.groupBy("family", "label").agg(F.count(F.lit(1)).alias("texts")), ["family", "label"]), "families")
+    of = families.select("row", (2 * F.pmod("family", F.lit(FOLDS)) + F.col("label")).cast("int").alias("kind"), F.expr(f"{UNIT} div texts").alias("units"))
+    return texts.select("row", "text").join(bounded_broadcast(of, 2 * most), "row").select("text", "kind", "units")
 
 
 def learned(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED) -> Model:
     """The model of labelled rows; counts of entries are summed over the cluster, and the strongest entries come to the driver."""
-    rows = written(labelled(docs, labels, most), "labelled-texts")
-    kinds = np.zeros(2 * FOLDS, np.int64)
-    for r in rows.groupBy("kind").count().collect():
-        kinds[r.kind] = r["count"]
+    rows, n_kinds = labelled(docs, labels, most), 2 * FOLDS
+    kinds = np.zeros(n_kinds)
+    for r in rows.groupBy("kind").agg(F.sum("units").alias("units")).collect():
+        kinds[r.kind] = r.units / UNIT
     if not kinds.any():
         return Model(Lexicon({}), PRIOR)
-    n_kinds, columns = 2 * FOLDS, [f"k{k}" for k in range(2 * FOLDS)] + ["words", "after"]
+    columns = [f"k{k}" for k in range(n_kinds)] + ["words", "after"]
 
     def count(batches):
         for batch in batches:
-            texts, kind = text_column(batch), np.asarray(batch.column("kind"), dtype=np.int64)
+            texts, kind, units = text_column(batch), np.asarray(batch.column("kind"), dtype=np.int64), np.asarray(batch.column("units"))
             for i, j in slices(texts, LEARN_BYTES):
-                names, counts = entry_counts(texts.slice(i, j - i), kind[i:j], n_kinds)
+                names, counts = entry_counts(texts.slice(i, j - i), kind[i:j], units[i:j], n_kinds)
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array(counts[:, k]) for k in range(n_kinds + 2))], ["entry", *columns])
 
     counted = rows.mapInArrow(count, ", ".join(["entry string", *(f"{c} long" for c in columns)])).groupBy("entry").agg(*(F.sum(c).alias(c) for c in columns))
-    toxic, clean = int(kinds[1::2].sum()), int(kinds[0::2].sum())
-    a, b = sum(F.col(f"k{k}") for k in range(1, n_kinds, 2)), sum(F.col(f"k{k}") for k in range(0, n_kinds, 2))
+    toxic, clean = float(kinds[1::2].sum()), float(kinds[0::2].sum())
+    a, b = (sum(F.col(f"k{k}") for k in range(y, n_kinds, 2)) / UNIT for y in (1, 0))
     # entries below this share have less than LEAST_ODDS in every fold's lexicon, but for chance
     counted = counted.withColumn("a", a).withColumn("b", b).filter((F.col("a") >= LEAST_DOCS) & (F.col("a") * clean > F.col("b") * toxic))
     strength = F.col("a") * F.log((F.col("a") * (toxic + clean)) / ((F.col("a") + F.col("b")) * toxic))
     strongest = counted.orderBy(strength.desc(), "entry").limit(MOST_ENTRIES).select("entry", *columns).toArrow()
     names = strongest.column("entry").to_pylist()
-    counts = np.stack([np.asarray(strongest.column(c), dtype=np.int64) for c in columns], axis=1) if names else np.zeros((0, n_kinds + 2), np.int64)
+    counts = np.stack([np.asarray(strongest.column(c), dtype=np.int64) for c in columns], axis=1) / UNIT if names else np.zeros((0, n_kinds + 2))
     by_fold = counts[:, :n_kinds].reshape(-1, FOLDS, 2)
     every, of_fold = by_fold.sum(1), kinds.reshape(FOLDS, 2)
     others = [lexicon_of(names, every - by_fold[:, f], counts[:, n_kinds:], of_fold.sum(0) - of_fold[f]) for f in range(FOLDS)]
+    seen_columns = [*EVENTS, "length"]
 
     def seen(batches):
         for batch in batches:
             texts, kind = text_column(batch), np.asarray(batch.column("kind"), dtype=np.int64)
-            totals = np.zeros((len(kind), len(EVENTS)))
+            totals = np.zeros((len(kind), len(seen_columns)))
             for f in np.unique(kind // 2).tolist():
                 at = np.flatnonzero(kind // 2 == f)
                 totals[at] = events(texts.take(pa.array(at)), others[f])
-            yield pa.RecordBatch.from_arrays([pa.array(kind % 2, pa.int32()), *(pa.array(totals[:, k]) for k in range(len(EVENTS)))], ["label", *EVENTS])
+            yield pa.RecordBatch.from_arrays([pa.array(kind % 2, pa.int32()), batch.column("units"), *(pa.array(totals[:, k]) for k in range(len(seen_columns)))], ["label", "units", *seen_columns])
 
-    # at most ``most`` rows of seven numbers for distinct ids; rows alike come as one
-    found = rows.mapInArrow(seen, ", ".join(["label int", *(f"{e} double" for e in EVENTS)])).groupBy("label", *EVENTS).count().orderBy("label", *EVENTS).toArrow()
-    n = np.asarray(found.column("count"))
-    totals = np.stack([np.asarray(found.column(e)) for e in EVENTS], axis=1)
-    weights = fit(np.repeat(totals, n, axis=0), np.repeat(np.asarray(found.column("label")), n))
+    # at most ``most`` rows of nine numbers for distinct ids; rows alike come as one
+    found = rows.mapInArrow(seen, ", ".join(["label int", "units long", *(f"{e} double" for e in seen_columns)])).groupBy("label", *seen_columns).agg(F.sum("units").alias("units")).orderBy("label", *seen_columns).toArrow()
+    totals = np.stack([np.asarray(found.column(e)) for e in seen_columns], axis=1)
+    weights = fit(totals, np.asarray(found.column("label")), np.asarray(found.column("units")) / UNIT)
     return Model(lexicon_of(names, every, counts[:, n_kinds:], of_fold.sum(0)), weights)
 
 
