@@ -1,33 +1,43 @@
 """Quality rules: base counts of every text, and cross-document line frequency.
 
 Lines are normalised (lower case, digits as 0, white space collapsed) and hashed. For
-every host the distinct documents with a line are counted; copies of one text count
-as one document. Lines in more documents of a host than its limits allow are
-removed, and a document that loses more than ``most_lost`` of its words is rejected.
-A line passes if it is in at most ``most_docs`` documents of the host or at most
-``most_share`` of them.
-
-One pass over the texts gives a narrow row a document (counts and line hashes),
-which is written; all that follows shuffles such rows only. Line counts are summed
-before the shuffle, and the lines above the limits are copied ``SALTS`` times, so
-that the rows of one very common line are dealt over as many tasks. DataFrame
-functions only.
+every host the distinct documents with a line are counted. Lines in more than
+``most_docs`` documents of a host are removed, however large the host is, and a
+document that loses more than ``most_lost`` of its words is rejected.
+
+Copies and near copies of a text count as one document, or a group of them would take
+each other's lines away. A document is known by SKETCHES values: least and greatest
+hashes of its runs of five words, by several parts of the hash, each of which two
+texts share with a chance of their similarity. Its family is the value that most
+documents of the host have; a document that shares none is its own.
+
+One pass over the texts gives a narrow row a document (counts, line hashes, values),
+which is written; all that follows shuffles such rows only. Counts are summed before
+the shuffle, and the lines above the limit, like the values of large families, are
+copied ``SALTS`` times, so that rows of one very common key are dealt over as many
+tasks. DataFrame functions only.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null
-source is a host of its own; repeated rows are judged one by one; an empty table
-gives no row; other columns are ignored.
+source is a host of its own; repeated rows are judged one by one; among values that
+equally many documents have, the one of the last part decides; texts of any length
+are read whole; an empty table gives no row; other columns, of any name, are ignored.
+Functions that write their narrow rows run that job when they are called.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import table, written
+from lexforge.llm.common import bounded_broadcast, fresh, table, written
 
 #: What separates words, as a regular expression's class and as characters.
 SPACE = " \\x09-\\x0D"
 SPACE_CHARS = " \t\n\u000b\f\r"
 WINDOW = 8
 SALTS = 16
+#: Words of a run, and where in its hash (of 32 hexadecimal digits) a part begins; least and greatest of each are kept.
+RUN, PARTS = 5, (1, 9, 17)
+#: Rows and line hashes that a broadcast of verdicts may have.
+MOST_BROADCAST = 1 << 20
 
 
 def bind(value: Column, use) -> Column:
@@ -61,6 +71,17 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
     return F.when(F.size(words) <= width, F.lit(0)).otherwise(bind(hashed, of_hashes)).cast("long")
 
 
+def sketches(words: Column) -> Column:
+    """Hashes of the least and the greatest run by every part of its hash; none without words."""
+    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (RUN - 1), F.lit(1))), lambda i: F.md5(F.array_join(F.slice(words, i, F.lit(RUN)), " ").cast("binary")))
+
+    def ends(m: Column) -> Column:
+        parts = [F.transform(m, lambda x, at=at: F.substring(x, at, 33 - at)) if at > 1 else m for at in PARTS]
+        return F.array(*(F.xxhash64(end) for part in parts for end in (F.array_min(part), F.array_max(part))))
+
+    return F.when(F.size(words) > 0, bind(runs, ends)).otherwise(F.array().cast("array<long>"))
+
+
 def with_words(text: Column) -> Column:
     """The lines with a word."""
     return F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{SPACE}]"))
@@ -87,34 +108,44 @@ def base_counts(docs: DataFrame, *more: Column) -> DataFrame:
         (F.length("text") - F.length(F.regexp_replace("text", "[#*$%&|<>]+", ""))).cast("long").alias("n_symbols"),
         (F.size("with_words") - F.size(F.array_distinct("with_words"))).cast("long").alias("n_dup_lines"),
         repeated_words(F.col("words")).alias("n_repeat_words"),
+        sketches(F.col("words")).alias("sketches"),
         F.transform("with_words", lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), F.size(words_of(x)).alias("words"))).alias("lines"),
     )
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
 
-def lines_above(lines: DataFrame, hosts: DataFrame, most_docs: int, most_share: float) -> DataFrame:
-    """(host, line) of the lines above the limits. lines: host, line, content; hosts: host, content."""
-    # partial sums leave one row a task for each line and text, so a common line makes no large group
-    counted = lines.groupBy("host", "line").agg(F.count_distinct("content").alias("n")).filter(F.col("n") > most_docs)
-    sizes = hosts.groupBy(F.col("host").alias("of")).agg(F.count_distinct("content").alias("docs"))
-    return counted.join(sizes, F.col("host").eqNullSafe(F.col("of"))).filter(F.col("n") > most_share * F.col("docs")).select("host", "line")
+def salted(keys: DataFrame) -> DataFrame:
+    """Every row SALTS times, with its ``salt``."""
+    return keys.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def families(rows: DataFrame) -> DataFrame:
+    """row, shared (the family's value) of the documents whose host has another with a value of theirs."""
+    values = rows.select("row", "host", F.posexplode("sketches").alias("place", "value"))
+    common = values.groupBy("host", "place", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    common = salted(common.select(F.col("host").alias("of"), F.col("place").alias("p"), F.col("value").alias("v"), "n"))
+    found = values.join(common, F.col("host").eqNullSafe(F.col("of")) & (F.col("place") == F.col("p")) & (F.col("value") == F.col("v")) & (F.pmod("row", F.lit(SALTS)) == F.col("salt")))
+    return found.groupBy("row").agg(F.max(F.struct("n", "place", "value")).alias("best")).select("row", F.xxhash64("best.place", "best.value").alias("shared"))
 
 
-def rules(docs: DataFrame, most_docs: int = 10, most_share: float = 0.1, most_lost: float = 0.7, *more: Column) -> DataFrame:
+def rules(docs: DataFrame, most_docs: int = 10, most_lost: float = 0.7, *more: Column) -> DataFrame:
     """A row a document: its counts, base_failed, lost_words, removed (hashes of its removed lines), content, kept."""
     rows = written(base_counts(docs, *more).withColumn("row", F.monotonically_increasing_id()), "quality")
-    lines = rows.select("row", "host", "content", F.explode("lines").alias("x")).select("row", "host", "content", "x.line", "x.words")
-    above = lines_above(lines, rows, most_docs, most_share)
-    copies = above.select(F.col("host").alias("of"), F.col("line").alias("frequent"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    known = rows.select("row", "host", "lines").join(families(rows), "row", "left")
+    lines = known.select("row", "host", F.coalesce("shared", "row").alias("family"), F.explode("lines").alias("x")).select("row", "host", "family", "x.line", "x.words")
+    # partial sums leave one row a task for each line and family, so a common line makes no large group
+    above = lines.groupBy("host", "line").agg(F.count_distinct("family").alias("n")).filter(F.col("n") > most_docs)
+    above = salted(above.select(F.col("host").alias("of"), F.col("line").alias("frequent")))
+    lines = rows.select("row", "host", F.explode("lines").alias("x")).select("row", "host", "x.line", "x.words")
     lost = (
-        lines.join(copies, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("frequent")) & (F.pmod("row", F.lit(SALTS)) == F.col("salt")))
+        lines.join(above, F.col("host").eqNullSafe(F.col("of")) & (F.col("line") == F.col("frequent")) & (F.pmod("row", F.lit(SALTS)) == F.col("salt")))
         .groupBy("row")
         .agg(F.sum("words").alias("lost_words"), F.collect_set("line").alias("removed"))
     )
     lost_words = F.coalesce(F.col("lost_words"), F.lit(0))
     return (
-        rows.drop("lines")
+        rows.drop("lines", "sketches")
         .join(lost, "row", "left")
         .withColumn("lost_words", lost_words)
         .withColumn("removed", F.coalesce(F.col("removed"), F.array().cast("array<long>")))
@@ -124,19 +155,27 @@ def rules(docs: DataFrame, most_docs: int = 10, most_share: float = 0.1, most_lo
 
 
 def filtered(docs: DataFrame, **limits) -> DataFrame:
-    """The documents that the rules keep, without their removed lines, with the columns of ``docs``."""
-    verdicts = rules(docs, **limits)
-    drop = verdicts.filter(~F.col("kept") | (F.size("removed") > 0)).groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_content"), F.col("host").alias("_host")).agg(F.min("kept").alias("_kept"), F.first("removed").alias("_removed"))
+    """The documents that the rules keep, without their removed lines, with the columns of ``docs``.
+
+    Verdicts of documents that go or lose lines are sent to the texts while they are
+    few (MOST_BROADCAST); beyond that both sides are shuffled.
+    """
+    of, content, host, kept, removed, mine = (fresh(docs, c) for c in ("verdict_of", "verdict_content", "verdict_host", "verdict_kept", "verdict_removed", "verdict_mine"))
+    verdicts = rules(docs, **limits).filter(~F.col("kept") | (F.size("removed") > 0))
+    drop = verdicts.groupBy(F.col("doc_id").alias(of), F.col("content").alias(content), F.col("host").alias(host)).agg(F.min("kept").alias(kept), F.first("removed").alias(removed))
+    drop = written(drop, "verdicts")
+    size = drop.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size(removed)), F.lit(0))).first()[0]
+    drop = bounded_broadcast(drop, MOST_BROADCAST) if size <= MOST_BROADCAST else drop
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = docs.withColumn("_text_hash", F.xxhash64(text)).join(
-        drop, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_content")) & F.col("source").eqNullSafe(F.col("_host")), "left"
+    joined = docs.withColumn(mine, F.xxhash64(text)).join(
+        drop, F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (F.col(mine) == F.col(content)) & F.col("source").cast("string").eqNullSafe(F.col(host)), "left"
     )
-    shorter = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("_removed"), F.xxhash64(normalised(x)))), "\n")
-    cut = F.size("_removed") > 0
-    out = joined.filter(F.coalesce(F.col("_kept"), F.lit(True))).withColumn("text", F.when(cut, shorter).otherwise(F.col("text")))
+    shorter = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col(removed), F.xxhash64(normalised(x)))), "\n")
+    cut = F.size(removed) > 0
+    out = joined.filter(F.coalesce(F.col(kept), F.lit(True))).withColumn("text", F.when(cut, shorter).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op3_query(spark, sf_dir: str) -> DataFrame:
@@ -156,14 +195,21 @@ WITH d AS (
   SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt
   FROM (SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY r, win) > 1)
 ), reps AS (SELECT r, sum(least(8, coalesce(nxt - i, 8))) AS n FROM rep GROUP BY r),
-l AS (
-  SELECT r, text, source, trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[ \\x09-\\x0D]+', ' ', 'g')) AS line,
+g AS (
+  SELECT r, source, md5(array_to_string(words[i:i + 4], ' ')) AS m
+  FROM (SELECT r, source, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS i FROM d WHERE len(words) > 0)
+), s AS (
+  SELECT r, source, unnest([{'p': 0, 'v': min(m)}, {'p': 1, 'v': max(m)}, {'p': 2, 'v': min(m[9:])}, {'p': 3, 'v': max(m[9:])}, {'p': 4, 'v': min(m[17:])}, {'p': 5, 'v': max(m[17:])}]) AS x
+  FROM g GROUP BY r, source
+), f AS (
+  SELECT r, max({'n': n, 'x': x}).x AS x FROM (SELECT r, x, count(*) OVER (PARTITION BY source, x) AS n FROM s) WHERE n > 1 GROUP BY r
+), l AS (
+  SELECT d.r, source, coalesce(f.x.p || ' ' || f.x.v, 'r' || d.r) AS family,
+         trim(regexp_replace(regexp_replace(lower(line), '[0-9]', '0', 'g'), '[ \\x09-\\x0D]+', ' ', 'g')) AS line,
          len(list_filter(regexp_split_to_array(line, '[ \\x09-\\x0D]+'), lambda x: x <> '')) AS n
-  FROM (SELECT r, text, source, unnest(lines) AS line FROM d)
-), hosts AS (SELECT source, count(DISTINCT text) AS docs FROM d GROUP BY source),
-above AS (
-  SELECT l.source, line FROM l JOIN hosts h ON l.source IS NOT DISTINCT FROM h.source
-  GROUP BY l.source, line, docs HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.1 * docs
+  FROM (SELECT r, source, unnest(lines) AS line FROM d) d LEFT JOIN f ON d.r = f.r
+), above AS (
+  SELECT source, line FROM l GROUP BY source, line HAVING count(DISTINCT family) > 10
 ), lost AS (
   SELECT r, sum(n) AS n FROM l JOIN above a ON l.source IS NOT DISTINCT FROM a.source AND l.line = a.line GROUP BY r
 ), c AS (

@@ -82,14 +82,23 @@ def test_base_counts(docs, spark, empty):
     assert quality.rules(empty).count() == 0
 
 
-def slow_rules(rows, most_docs, most_share, most_lost):
-    by_line, hosts = defaultdict(set), defaultdict(set)
+def slow_families(rows):
+    values = []
     for _, text, host in rows:
-        hosts[host].add(text or "")
+        words = WORDS.findall(text or "")
+        runs = [hashlib.md5(" ".join(words[i : i + 5]).encode()).hexdigest() for i in range(max(1, len(words) - 4))] if words else []
+        values.append([(host, k, v) for k, v in enumerate(f(x[at:] for x in runs) for at in (0, 8, 16) for f in (min, max))] if runs else [])
+    count = Counter(v for own in values for v in own)
+    return [max((count[v], *v[1:]) for v in own)[1:] if any(count[v] > 1 for v in own) else i for i, own in enumerate(values)]
+
+
+def slow_rules(rows, most_docs, most_lost):
+    by_line = defaultdict(set)
+    for (_, text, host), family in zip(rows, slow_families(rows), strict=True):
         for line in (text or "").split("\n"):
             if WORDS.search(line):
-                by_line[host, normal(line)].add(text or "")
-    above = {k for k, v in by_line.items() if len(v) > most_docs and len(v) > most_share * len(hosts[k[0]])}
+                by_line[host, normal(line)].add(family)
+    above = {k for k, v in by_line.items() if len(v) > most_docs}
     out = Counter()
     for i, text, host in rows:
         text = text or ""
@@ -99,20 +108,31 @@ def slow_rules(rows, most_docs, most_share, most_lost):
     return out
 
 
-def test_line_frequency(spark, docs):
+def test_line_frequency(spark, docs, monkeypatch):
     rng = np.random.default_rng(3)
     body = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10_000, n))
     rows = [(1000 + i, f"{body(30)}\nTotal 12{i % 10} views\nshare this page", "en", "hot", 1) for i in range(30)]
-    rows += [(2000 + i, ("share  this PAGE\n" * 40) + body(3), "en", "hot", 1) for i in range(12)]
+    notices = [" ".join(f"n{k}x{j}" for k in range(10)) for j in range(6)]
+    rows += [(2000 + i, "\n".join([*rng.permutation(notices)[:3], body(5)]), "en", "hot", 1) for i in range(60)]
     rows += [(3000 + i, "copy of one text " + "with its own words all over " * 1 + " ".join(f"c{k}" for k in range(30)), "en", "hot", 1) for i in range(40)]
+    own = [f"m{k}" for k in range(200)]
+    for i in range(40):  # near copies: one word changed, all in one line
+        own[50:51] = [f"x{i}"]
+        rows.append((5000 + i, " ".join(own[:100]) + "\n" + " ".join(own[100:]), "en", "hot", 1))
     rows += [(4000, body(40) + "\nshare this page", "en", "cold", 1), (4001, body(40), "en", None, 1)]
     frame = spark.createDataFrame(rows, SCHEMA).unionByName(docs)
-    limits = {"most_docs": 5, "most_share": 0.1, "most_lost": 0.7}
-    got = Counter((r.doc_id, r.base_failed, r.lost_words, r.kept) for r in quality.rules(frame, **limits).collect())
+    limits = {"most_docs": 5, "most_lost": 0.7}
+    got = Counter((r.doc_id, r.base_failed, r.lost_words, r.kept) for r in quality.rules(clashing(frame), **limits).collect())
     assert got == slow_rules([(r.doc_id, r.text, r.source) for r in frame.collect()], **limits)
-    kept = {r.doc_id: r.text for r in quality.filtered(frame, **limits).collect()}
+    named = frame.withColumn("verdict_of", F.lit("x")).withColumn("_Verdict_kept", F.lit(False)).withColumn("row", F.lit(1)).withColumn("a.b", F.lit(1))
+    out = quality.filtered(named, **limits)
+    assert out.schema == named.schema
+    kept = {r.doc_id: r.text for r in out.collect()}
     assert all(i in kept for i in range(3000, 3040)), "copies of one text are one document"
-    assert "share" not in kept[1000] and kept[4000].endswith("share this page") and not any(2000 <= (i or 0) < 2012 for i in kept)
+    assert all(len(kept[i].split()) == 200 for i in range(5000, 5040)), "and so are near copies"
+    monkeypatch.setattr(quality, "MOST_BROADCAST", 0)
+    assert Counter(quality.filtered(frame, **limits).collect()) == Counter(out.select(*frame.columns).collect())
+    assert "share" not in kept[1000] and kept[4000].endswith("share this page") and not any(2000 <= (i or 0) < 2060 for i in kept)
 
 
 # BPE
