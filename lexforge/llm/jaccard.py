@@ -31,13 +31,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import binary_array, binary_data, ragged, slices, table, text_column, written
+from lexforge.llm.common import binary_array, binary_data, bounded_broadcast, fresh, ragged, slices, table, text_column, written
 
 NGRAM, THRESHOLD = 5, 0.8
 #: Target recall of a pair just at the threshold, and the most hash functions spent on it.
 RECALL, MOST_FUNCTIONS = 0.999, 216
 #: Members and n-grams of a block of a large component.
 BLOCK, BLOCK_NGRAMS = 256, 4 << 20
+#: Rows of 48 bytes that a broadcast of dropped documents may have.
+MOST_BROADCAST = 1 << 20
 
 SIGNED = "doc_id long, key string, n_grams long, bands array<long>"
 SETS = "component long, i int, j int, mine int, cid long, copies long, grams binary"
@@ -302,14 +304,22 @@ def blocks(roots: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each near-duplicate class, the one with the least doc_id."""
-    found = join(docs, **options).filter(F.col("kept") & F.col("doc_id").eqNullSafe(F.col("class_id")))
-    kept = found.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    """``docs`` with one document of each near-duplicate class, the one with the least doc_id.
+
+    The join runs when this is called. What goes (ids and keys of texts) is sent to the
+    texts while it is little (MOST_BROADCAST); beyond that both sides are shuffled.
+    """
+    of, key, gone, mine = (fresh(docs, c) for c in ("copy_of", "copy_key", "copy_gone", "copy_mine"))
+    stays = F.col("kept") & F.col("doc_id").eqNullSafe(F.col("class_id"))
+    marked = join(docs, **options).groupBy(F.col("doc_id").alias(of), F.col("text_key").alias(key)).agg((~F.bool_or(stays)).alias(gone), F.count(F.lit(1)).alias("rows"))
+    marked = written(marked.filter(F.col(gone) | (F.col("rows") > 1)).drop("rows"), "copies")
+    marked = bounded_broadcast(marked, MOST_BROADCAST)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumn("_text_key", F.md5(text)).join(kept, (F.col("_text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-    once = rows.filter("_rows = 1").select(*docs.columns)
+    rows = docs.withColumn(mine, F.md5(text)).join(marked, (F.col(mine) == F.col(key)) & F.col("doc_id").cast("long").eqNullSafe(F.col(of)), "left")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    once = rows.filter(F.col(gone).isNull()).select(*names)
     # the same id and text in several rows: one of them
-    return once.unionByName(rows.filter("_rows > 1").dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns))
+    return once.unionByName(rows.filter(~F.col(gone)).dropDuplicates([of, mine]).select(*names))
 
 
 def op6_query(spark, sf_dir: str) -> DataFrame:

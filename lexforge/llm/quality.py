@@ -35,7 +35,7 @@ SPACE_CHARS = " \t\n\u000b\f\r"
 WINDOW = 8
 SALTS = 16
 #: Words of a run, and where in its hash (of 32 hexadecimal digits) a part begins; least and greatest of each are kept.
-RUN, PARTS = 5, (1, 9, 17)
+RUN, PARTS, CHUNK = 5, (1, 9, 17), 4096
 #: Rows and line hashes that a broadcast of verdicts may have.
 MOST_BROADCAST = 1 << 20
 
@@ -72,14 +72,29 @@ def repeated_words(words: Column, width: int = WINDOW) -> Column:
 
 
 def sketches(words: Column) -> Column:
-    """Hashes of the least and the greatest run by every part of its hash; none without words."""
-    runs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - (RUN - 1), F.lit(1))), lambda i: F.md5(F.array_join(F.slice(words, i, F.lit(RUN)), " ").cast("binary")))
+    """Hashes of the least and the greatest run by every part of its hash; none without words.
+
+    Runs are hashed CHUNK at a time, so a long text holds no array of all its hashes.
+    """
+
+    def part(m: Column, at: int) -> Column:
+        return F.transform(m, lambda x: F.substring(x, at, 33 - at))
 
     def ends(m: Column) -> Column:
-        parts = [F.transform(m, lambda x, at=at: F.substring(x, at, 33 - at)) if at > 1 else m for at in PARTS]
-        return F.array(*(F.xxhash64(end) for part in parts for end in (F.array_min(part), F.array_max(part))))
+        parts = [part(m, at) if at > 1 else m for at in PARTS]
+        return F.array(*(end for part in parts for end in (F.array_min(part), F.array_max(part))))
+
+    def run(i: Column) -> Column:
+        return F.md5(F.concat_ws(" ", *(F.get(words, i + k) for k in range(RUN))).cast("binary"))
+
+    last = F.greatest(F.size(words) - RUN, F.lit(0))
+    chunks = F.transform(F.sequence(F.lit(0), last, F.lit(CHUNK)), lambda c: bind(F.transform(F.sequence(c, F.least(c + (CHUNK - 1), last)), run), ends))
+
+    def best(x: Column) -> Column:
+        at = lambda k: F.transform(x, lambda y: F.get(y, F.lit(k)))
+        return F.array(*(F.xxhash64((F.array_max if k % 2 else F.array_min)(at(k))) for k in range(2 * len(PARTS))))
 
-    return F.when(F.size(words) > 0, bind(runs, ends)).otherwise(F.array().cast("array<long>"))
+    return F.when(F.size(words) > 0, bind(chunks, best)).otherwise(F.array().cast("array<long>"))
 
 
 def with_words(text: Column) -> Column:

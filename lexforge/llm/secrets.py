@@ -21,13 +21,15 @@ each sort before and after), never pairs. Only such narrow rows are shuffled; te
 stay where they are. DataFrame functions only.
 
 Defined cases: a null text is empty and has no span; null ids and repeated rows are
-kept, a row each; an empty table gives no row; other columns are ignored.
+kept, a row each; parts that start at one place come in the order of KINDS; texts of
+any length are read whole, by patterns that neither nest nor look back over a run; an
+empty table gives no row; other columns, of any name, are ignored.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import table
+from lexforge.llm.common import bounded_broadcast, fresh, table, written
 
 # The base patterns, as the contract states them.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -36,11 +38,14 @@ HEX = r"[0-9a-f]{32,}+"  # whole runs, as with [0-9a-f]+ and a length of 32 or m
 # The weak parts.
 SECRET = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
 IDENT = r"""(?i:(?:client|account|user|access)_?(?:key_?)?(?:id|name))["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@-]{4,})"""
-ENDPOINT = r"""https?://[^\s"'<>]{4,}|\b(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}:[0-9]{2,5}\b"""
+# Starts only where a run of labels does, and keeps what it took: long runs cost one pass and no stack.
+ENDPOINT = r"""https?://[^\s"'<>]{4,}|(?<![A-Za-z0-9.-])(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,}:[0-9]{2,5}\b"""
 
 KINDS = ("assign", "access", "hex", "secret", "ident", "endpoint")
 BASE = KINDS[:3]
 SCOPE = 300
+#: Rows and spans that a broadcast of found secrets may have.
+MOST_BROADCAST = 1 << 20
 
 PART = "array<struct<kind:int,pos:int,gap:int,size:int,good:boolean>>"
 
@@ -118,18 +123,26 @@ def digest(found: DataFrame) -> DataFrame:
 
 
 def redacted(docs: DataFrame, scope: int = SCOPE, mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span that ``scan`` reports replaced by ``mask``; the columns stay."""
+    """``docs`` with every span that ``scan`` reports replaced by ``mask``; the columns stay.
+
+    The scan runs when this is called. Its spans are sent to the texts while they are
+    few (MOST_BROADCAST); beyond that both sides are shuffled.
+    """
+    of, content, spans, mine = (fresh(docs, c) for c in ("spans_of", "spans_content", "spans_found", "spans_mine"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    some = scan(docs, scope).filter(F.size("spans") > 0).groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_content")).agg(F.first("spans").alias("_spans"))
-    joined = docs.withColumn("_hash", F.xxhash64(text)).join(some, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_content")), "left")
+    some = scan(docs, scope).filter(F.size("spans") > 0).groupBy(F.col("doc_id").alias(of), F.col("content").alias(content)).agg(F.first("spans").alias(spans))
+    some = written(some, "secret-spans")
+    size = some.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size(spans)), F.lit(0))).first()[0]
+    some = bounded_broadcast(some, MOST_BROADCAST) if size <= MOST_BROADCAST else some
+    joined = docs.withColumn(mine, F.xxhash64(text)).join(some, F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (F.col(mine) == F.col(content)), "left")
     # a span within an earlier one leaves nothing of its own to mask
-    pieces = F.transform("_spans", lambda s: F.when(s["start"] >= s["seen"], F.concat(F.substring(text, s["seen"].cast("int") + 1, (s["start"] - s["seen"]).cast("int")), F.lit(mask))).otherwise(F.lit("")))
-    rest = F.substring(text, F.array_max(F.transform("_spans", lambda s: s["end"])).cast("int") + 1, F.length(text))
+    pieces = F.transform(spans, lambda s: F.when(s["start"] >= s["seen"], F.concat(F.substring(text, s["seen"].cast("int") + 1, (s["start"] - s["seen"]).cast("int")), F.lit(mask))).otherwise(F.lit("")))
+    rest = F.substring(text, F.array_max(F.transform(spans, lambda s: s["end"])).cast("int") + 1, F.length(text))
     hidden = F.concat(F.array_join(pieces, ""), rest)
-    out = joined.withColumn("text", F.when(F.col("_spans").isNotNull(), hidden).otherwise(F.col("text")))
+    out = joined.withColumn("text", F.when(F.col(spans).isNotNull(), hidden).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(spans).isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op10_query(spark, sf_dir: str) -> DataFrame:

@@ -108,6 +108,17 @@ def slow_rules(rows, most_docs, most_lost):
     return out
 
 
+def test_sketches(spark, docs):
+    got = Counter((r.doc_id, tuple(sorted(r.sketches))) for r in quality.base_counts(docs).collect())
+    expected = Counter()
+    for d in docs.collect():
+        words = WORDS.findall(d.text or "")
+        runs = [hashlib.md5(" ".join(words[i : i + 5]).encode()).hexdigest() for i in range(max(1, len(words) - 4))] if words else []
+        values = [xxhash.xxh64_intdigest(f(x[at:] for x in runs).encode(), seed=42) for at in (0, 8, 16) for f in (min, max)] if runs else []
+        expected[d.doc_id, tuple(sorted(v - (v >> 63 << 64) for v in values))] += 1
+    assert got == expected
+
+
 def test_line_frequency(spark, docs, monkeypatch):
     rng = np.random.default_rng(3)
     body = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10_000, n))
@@ -279,16 +290,71 @@ def test_base_secrets(spark, docs, empty):
     assert secrets.scan(empty).count() == 0
 
 
-def test_parts_are_linked_within_scopes(spark):
+def test_parts_are_linked_within_scopes(spark, monkeypatch):
     frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(SECRETS)], SCHEMA)
     kinds = {r.doc_id: [x.split(":")[0] for x in r.spans.split(",") if x] for r in secrets.digest(secrets.scan(frame)).collect()}
     assert kinds[7] == ["access", "secret"] and kinds[8] == [] and kinds[9] == [] and kinds[11] == []
     assert kinds[10] == ["ident", "endpoint", "assign"]
-    hidden = {r.doc_id: (r.text, r.n_chars) for r in secrets.redacted(frame).collect()}
+    named = frame.withColumn("spans_of", F.lit("x")).withColumn("Spans_found", F.lit(1)).withColumn("a.b", F.lit(1))
+    out = secrets.redacted(named)
+    assert out.columns == named.columns
+    monkeypatch.setattr(secrets, "MOST_BROADCAST", 0)
+    assert Counter(secrets.redacted(named).collect()) == Counter(out.collect())
+    hidden = {r.doc_id: (r.text, r.n_chars) for r in out.collect()}
     assert hidden[7] == ("id [SECRET] with [SECRET] ok", 28) and hidden[8][0] == SECRETS[8] and hidden[13][0] is None
     assert hidden[0][0] == '[SECRET]" and more' and hidden[6][0] == "é🙂 [SECRET] 🙂 [SECRET]z"
 
 
+def slow_spans(text, scope):
+    """All pairs of parts, as the docstring says."""
+    mine = [
+        (secrets.ASSIGN, lambda m: len(m[2]) >= 8), (secrets.ACCESS, lambda m: len(m[0]) >= 16), ("[0-9a-f]+", lambda m: len(m[0]) >= 32),
+        (secrets.SECRET, lambda m: re.search("[0-9]", m[0]) and re.search("[A-Z]", m[0]) and re.search("[a-z]", m[0])), (secrets.IDENT, lambda m: True), (secrets.ENDPOINT, lambda m: True),
+    ]
+    parts = sorted((m.start(), k, m.end()) for k, (pattern, good) in enumerate(mine) for m in re.finditer(pattern, text) if good(m))
+
+    def near(p, kinds):
+        return any(q != p and q[1] in kinds and (q[2] <= p[0] + (q[2] - p[0] if (q[0], q[1]) < (p[0], p[1]) else 0) and p[0] - q[2] <= scope if (q[0], q[1]) < (p[0], p[1]) else q[0] - p[2] <= scope) for q in parts)
+
+    out = []
+    for p in parts:
+        ident, secret, endpoint = near(p, (1, 4)), near(p, (0, 2, 3)), near(p, (5,))
+        covered = any(q[1] < 3 and q[2] > p[0] for q in parts if (q[0], q[1]) < (p[0], p[1]))
+        if p[1] < 3 or p[1] == 3 and (ident or endpoint) and not covered or p[1] == 4 and secret or p[1] == 5 and ident and secret:
+            out.append(f"{secrets.KINDS[p[1]]}:{p[0]}:{p[2]}")
+    return ",".join(out)
+
+
+def test_links_are_those_of_all_pairs(spark):
+    rng = np.random.default_rng(12)
+    secret = lambda: "".join(rng.choice(list("abcXYZ0189+/"), 40))
+    parts = [lambda: "AKIA" + "ABCDEFGHIJKL"[: rng.integers(9, 13)] + "9", secret, secret, lambda: "user_id: someone", lambda: "account_name=x9_y-z", lambda: "https://host.example/path", lambda: "db.in-house.org:5432", lambda: "password = hunter2hunter2", lambda: "deadbeef" * 4, lambda: "token: abc"]
+    texts = []
+    for _ in range(300):
+        text = ""
+        for k in rng.integers(0, len(parts), rng.integers(0, 7)):
+            text += parts[k]() + rng.choice([" ", "\n", " \"", "é ", " " + ". " * int(rng.integers(0, 400))])
+        texts.append(text)
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.spans for r in secrets.digest(secrets.scan(frame)).collect()}
+    assert got == {i: slow_spans(t, secrets.SCOPE) for i, t in enumerate(texts)}
+    assert sum("secret:" in x for x in got.values()) > 30 and sum("endpoint:" in x for x in got.values()) > 20
+
+
+def test_long_and_hostile_texts(spark):
+    """A megabyte of what patterns might trip over; and one text of 50 MB."""
+    long = [x * (1_000_000 // len(x)) + " : x" for x in ("a.", "Ab ", "ab", "7", "[", "\n", "a-", "token", "token ", "user_id ", "http://", "A", "AKIA", "0a", "=", "aB3/" * 10 + " ")]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate([*long, "one two " * 6_000_000 + "password=abcdefgh9"])]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    got = {r.doc_id: r for r in secrets.digest(secrets.scan(frame)).collect()}
+    assert len(got) == len(rows) and got[len(long)].n_assign == 1
+    for i, t in enumerate(long):
+        if i not in (7, 8, 12):  # every place of these is a start for Python's search
+            assert got[i].n_hex == len([x for x in re.findall("[0-9a-f]+", t) if len(x) >= 32])
+    shorter = frame.withColumn("text", F.substring("text", 1, 4_000_000))
+    assert quality.rules(shorter).filter("n_words > 0").count() >= 12
+
+
 def test_secrets_of_key_value_files(spark):
     secret = "aB3" + "x" * 37
     texts = [f"AWS_ACCESS_KEY_ID=AKIAABCDEFGHIJKL\nAWS_SECRET_ACCESS_KEY={secret}\n", f"AWS_SECRET_ACCESS_KEY={secret}\n", f"AKIAABCDEFGHIJKL {secret}= x", f"AKIAABCDEFGHIJKL token={secret}"]
@@ -352,7 +418,10 @@ def test_jaccard_join(spark, docs, block, monkeypatch):
             least[find(x)] = min(i, least.get(find(x), i))
     expected = Counter((i, least.get(find(x)), len(linked[x])) for x, (i, *_) in enumerate(rows))
     assert Counter((r.doc_id, r.class_id, r.n_links) for r in got) == expected
-    kept = Counter((r.doc_id) for r in jaccard.deduplicated(frame).collect())
+    named = frame.withColumn("copy_of", F.lit("x")).withColumn("Copy_gone", F.lit(1)).withColumn("rows", F.lit(1)).withColumn("a.b", F.lit(1))
+    out = jaccard.deduplicated(named)
+    assert out.columns == named.columns
+    kept = Counter((r.doc_id) for r in out.collect())
     assert all(n == 1 for n in kept.values()) and sum(kept.values()) == len({find(x) for x in range(len(rows))})
 
 
