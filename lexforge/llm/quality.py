@@ -6,9 +6,10 @@ every host the distinct documents with a line are counted. Lines in more than
 document that loses more than ``most_lost`` of its words is rejected.
 
 Copies and near copies of a text count as one document, or a group of them would take
-each other's lines away. A document is known by SKETCHES values: least and greatest
-hashes of its runs of five words, by several parts of the hash, each of which two
-texts share with a chance of their similarity. Its family is the value that most
+each other's lines away. A document is known by six values: least and greatest
+hashes of its runs of five words (those that start at a long word, if there are enough
+of them), by several parts of the hash, each of which two texts share with a chance of
+their similarity. Its family is the value that most
 documents of the host have; a document that shares none is its own.
 
 One pass over the texts gives a narrow row a document (counts, line hashes, values),
@@ -36,6 +37,8 @@ WINDOW = 8
 SALTS = 16
 #: Words of a run, and where in its hash (of 32 hexadecimal digits) a part begins; least and greatest of each are kept.
 RUN, PARTS, CHUNK = 5, (1, 9, 17), 4096
+#: Runs start at words of this length, where a text has as many of them; else at every word.
+LONG, LEAST_RUNS = 9, 16
 #: Rows and line hashes that a broadcast of verdicts may have.
 MOST_BROADCAST = 1 << 20
 
@@ -87,14 +90,18 @@ def sketches(words: Column) -> Column:
     def run(i: Column) -> Column:
         return F.md5(F.concat_ws(" ", *(F.get(words, i + k) for k in range(RUN))).cast("binary"))
 
-    last = F.greatest(F.size(words) - RUN, F.lit(0))
-    chunks = F.transform(F.sequence(F.lit(0), last, F.lit(CHUNK)), lambda c: bind(F.transform(F.sequence(c, F.least(c + (CHUNK - 1), last)), run), ends))
+    def chunked(starts: Column) -> Column:
+        pieces = F.sequence(F.lit(1), F.size(starts), F.lit(CHUNK))
+        return bind(F.transform(pieces, lambda c: bind(F.transform(F.slice(starts, c, F.lit(CHUNK)), run), ends)), best)
 
     def best(x: Column) -> Column:
         at = lambda k: F.transform(x, lambda y: F.get(y, F.lit(k)))
         return F.array(*(F.xxhash64((F.array_max if k % 2 else F.array_min)(at(k))) for k in range(2 * len(PARTS))))
 
-    return F.when(F.size(words) > 0, bind(chunks, best)).otherwise(F.array().cast("array<long>"))
+    every = F.sequence(F.lit(0), F.greatest(F.size(words) - RUN, F.lit(0)))
+    long = F.filter(every, lambda i: F.length(F.get(words, i)) >= LONG)
+    chosen = bind(long, lambda x: F.when(F.size(x) >= LEAST_RUNS, x).otherwise(every))
+    return F.when(F.size(words) > 0, bind(chosen, chunked)).otherwise(F.array().cast("array<long>"))
 
 
 def with_words(text: Column) -> Column:
@@ -210,9 +217,12 @@ WITH d AS (
   SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS nxt
   FROM (SELECT r, i FROM w QUALIFY count(*) OVER (PARTITION BY r, win) > 1)
 ), reps AS (SELECT r, sum(least(8, coalesce(nxt - i, 8))) AS n FROM rep GROUP BY r),
-g AS (
+i AS (
+  SELECT r, source, words, generate_series(1, greatest(len(words) - 4, 1)) AS every, list_filter(every, lambda i: length(words[i]) >= 9) AS long
+  FROM d WHERE len(words) > 0
+), g AS (
   SELECT r, source, md5(array_to_string(words[i:i + 4], ' ')) AS m
-  FROM (SELECT r, source, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS i FROM d WHERE len(words) > 0)
+  FROM (SELECT r, source, words, unnest(CASE WHEN len(long) >= 16 THEN long ELSE every END) AS i FROM i)
 ), s AS (
   SELECT r, source, unnest([{'p': 0, 'v': min(m)}, {'p': 1, 'v': max(m)}, {'p': 2, 'v': min(m[9:])}, {'p': 3, 'v': max(m[9:])}, {'p': 4, 'v': min(m[17:])}, {'p': 5, 'v': max(m[17:])}]) AS x
   FROM g GROUP BY r, source
