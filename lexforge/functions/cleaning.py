@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexforge.functions import text as X
-from lexforge.functions.vocab import GARBAGE, as_class, clean_map, punct_class
+from lexforge.functions.vocab import GARBAGE, clean_map, punct_class
 
 #: Above this share of garbage a text is cleaned aggressively.
 AGGRESSIVE_ABOVE = 0.05
@@ -20,7 +20,7 @@ def same_length(raw: Column, aggressive: bool = False) -> Column:
 
 def garbage_ratio(raw: Column) -> Column:
     n = F.length(raw)
-    return F.when(F.coalesce(n, F.lit(0)) == 0, F.lit(0.0)).otherwise(X.count_of(raw, as_class(GARBAGE)).cast("double") / n)
+    return F.when(F.coalesce(n, F.lit(0)) == 0, F.lit(0.0)).otherwise(X.count_among(raw, GARBAGE).cast("double") / n)
 
 
 def cleaned(raw: Column) -> Column:

@@ -4,7 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexforge.functions import text as X
-from lexforge.functions.vocab import GARBAGE, NOISE_SYMBOLS, as_class
+from lexforge.functions.vocab import GARBAGE, NOISE_SYMBOLS
 
 #: Characters that no noise is seen in, inside a class.
 COMMON = r"a-zA-Z0-9 \n\t.,;:!?'\"\-()\[\]{}@#$%&*/"
@@ -18,9 +18,10 @@ def score(raw: Column) -> Column:
     n = F.length(raw)
     capped = lambda x: F.least(F.lit(1.0), x)
     uncommon = capped(X.count_not(raw, COMMON) / n * 10)
-    broken = capped(F.size(F.regexp_extract_all(raw, F.lit("[A-Za-z][0-9][A-Za-z]|[0-9][A-Za-z][0-9]"), F.lit(0))) / F.lit(20.0))
+    found = F.when(raw.rlike("[0-9]"), F.size(F.regexp_extract_all(raw, F.lit("[A-Za-z][0-9][A-Za-z]|[0-9][A-Za-z][0-9]"), F.lit(0)))).otherwise(F.lit(0))
+    broken = capped(found / F.lit(20.0))
     short = X.bind(X.tokens(raw), lambda t: F.when(F.size(t) == 0, F.lit(0.0)).otherwise(F.size(F.filter(t, lambda x: F.length(x) <= 2)) / F.size(t).cast("double")))
-    boxes = capped(X.count_of(raw, as_class(NOISE_SYMBOLS)) / n * 20)
+    boxes = capped(X.count_among(raw, NOISE_SYMBOLS) / n * 20)
     return F.when(F.coalesce(n, F.lit(0)) < 50, F.lit(0.0)).otherwise(uncommon * 0.3 + broken * 0.3 + short * 0.2 + boxes * 0.2)
 
 
@@ -30,7 +31,7 @@ def needs_recovery(length: Column, names: Column, noise: Column, least_noise: fl
 
 def legacy_noise(raw: Column) -> Column:
     """About five times the share of garbage."""
-    return F.when(F.length(raw) == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), X.count_of(raw, as_class(GARBAGE)).cast("double") / F.length(raw) * 5))
+    return F.when(F.length(raw) == 0, F.lit(0.0)).otherwise(F.least(F.lit(1.0), X.count_among(raw, GARBAGE).cast("double") / F.length(raw) * 5))
 
 
 def name_like(text: Column) -> Column:

@@ -13,13 +13,13 @@ WEIRD = r"\x{FFFD}\x00-\x08\x0B\x0C\x0E-\x1F\x7F\x{2500}-\x{259F}\x{FFF0}-\x{FFF
 
 
 def ratio(part: Column, whole: Column) -> Column:
-    return F.when(whole == 0, F.lit(0.0)).otherwise(part.cast("double") / whole)
+    return X.bind(whole, lambda n: F.when(n == 0, F.lit(0.0)).otherwise(part.cast("double") / n))
 
 
 def word_ratio(text: Column, dictionary=tuple(COMMON_WORDS)) -> Column:
     """Share of ASCII words of three letters or more in the dictionary; 0 with fewer than five."""
     words = F.regexp_extract_all(F.lower(text), F.lit("[a-z]{3,}"), F.lit(0))
-    return F.when(F.size(words) < 5, F.lit(0.0)).otherwise(X.bind(words, lambda w: F.size(F.filter(w, lambda x: x.isin(*dictionary))).cast("double") / F.size(w)))
+    return X.bind(words, lambda w: F.when(F.size(w) < 5, F.lit(0.0)).otherwise(F.size(F.filter(w, lambda x: x.isin(*dictionary))).cast("double") / F.size(w)))
 
 
 def alpha_ratio(text: Column) -> Column:
@@ -37,7 +37,7 @@ def token_sanity(text: Column) -> Column:
     def of(t: Column) -> Column:
         lengths = F.sort_array(F.transform(t, lambda x: F.length(x)))
         n = F.size(t)
-        mixed = F.size(F.filter(t, lambda x: x.rlike("[a-zA-Z]") & x.rlike(r"\p{Nd}")))
+        mixed = F.when(text.rlike(r"\p{Nd}"), F.size(F.filter(t, lambda x: x.rlike(r"\p{Nd}") & x.rlike("[a-zA-Z]")))).otherwise(F.lit(0))
         middle = X.bind(lengths, lambda s: (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / F.lit(2.0))
         return F.struct(F.coalesce(middle, F.lit(0.0)).alias("median_token_len"), ratio(mixed, n).alias("digit_mixed_ratio"))
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.functions.vocab import WS, WS_CHARS
+from lexforge.functions.vocab import WS, WS_CHARS, as_class
 
 
 def strip(x: Column) -> Column:
@@ -26,6 +26,12 @@ def count_of(x: Column, inside: str) -> Column:
     return F.length(x) - F.length(F.regexp_replace(x, f"[{inside}]+", ""))
 
 
+def count_among(x: Column, characters: str) -> Column:
+    """Characters of a table. What lies far from all of them goes first, in one pass over a class of few ranges."""
+    rough = F.regexp_replace(x, f"[^{as_class(characters, 0x400)}]+", "")
+    return bind(rough, lambda r: F.when(r == "", F.lit(0)).otherwise(count_of(r, as_class(characters))))
+
+
 def count_not(x: Column, inside: str) -> Column:
     return F.length(F.regexp_replace(x, f"[{inside}]+", ""))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexforge.functions import text as X
+from lexforge.sources.shared import written
 
 
 def key(name: Column) -> Column:
@@ -106,16 +107,16 @@ def components(edges: DataFrame) -> DataFrame:
 
     Links a node's larger neighbours, then its smaller ones, to its least neighbour,
     until every node has one edge, to its root; the rounds grow with the logarithm of
-    a component's size, and nothing bounds them.
+    a component's size, and nothing bounds them. Each round is written to the shared folder.
     """
-    now = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
+    now = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     while now.groupBy("a").count().filter("count > 1").limit(1).count() or now.join(now.select(F.col("b").alias("a")), "a", "left_semi").limit(1).count():
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))
-        now = small.filter("a <> b").distinct().checkpoint()
+        now = written(small.filter("a <> b").distinct(), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 

@@ -21,7 +21,8 @@ MIN_CONFIDENCE, MOCK_CONFIDENCE = 0.3, 0.7
 _EDGE = r"\p{L}\p{N}_"
 
 # Patterns of name candidates, by priority.
-CAPITALISED_RUN = rf"(?<![{_EDGE}])[A-Z][a-z]+(?:[{WS}]+[A-Z][a-z]+)*(?![{_EDGE}])"
+# Repeats are possessive, so that a run of any length takes no stack: what follows can't be found by giving back.
+CAPITALISED_RUN = rf"(?<![{_EDGE}])[A-Z][a-z]++(?![{_EDGE}])(?:[{WS}]++[A-Z][a-z]++(?![{_EDGE}]))*+"
 CANDIDATES = [
     ("header", rf"(?:From|To|CC|Cc|Attn|Dear|Sincerely)[:{WS}]+[A-Za-z][A-Za-z0-9{WS}.\-']{{2,40}}", rf"^(?:From|To|CC|Cc|Attn|Dear|Sincerely)[:{WS}]+"),
     ("capitalized", rf"(?<![{_EDGE}])[A-Z][a-z]+(?:[{WS}]+[A-Z][a-z]+){{1,3}}(?![{_EDGE}])", None),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions import replies
 from lexforge.functions import text as X
+from lexforge.sources.shared import written
 
 # Limits of prompts and batches.
 PAGE_CHARS, MIN_PAGE_CHARS, MIN_DOCUMENT_CHARS, CHUNK_COUNT, CHUNK_TOKENS, CONTEXT_TOKENS, OUTPUT_MARGIN, MOST_PAGES = 6000, 10, 20, 16, 96_000, 32_768, 1000, 5000
@@ -126,25 +127,29 @@ def grouped(mapped_pages: DataFrame, size: int) -> DataFrame:
     return got.select("file_id", label.alias("page"), F.col("_g").alias("page_number"), text.alias("summary"))
 
 
-def reduced(mapped_pages: DataFrame, summarise, limit: int = CONTEXT_TOKENS - OUTPUT_MARGIN, overhead: int = 700, depth: int = 5) -> DataFrame:
+def reduced(mapped_pages: DataFrame, summarise, limit: int = CONTEXT_TOKENS - OUTPUT_MARGIN, overhead: int = 700) -> DataFrame:
     """Pages of every file, in groups until they fit one prompt. summarise: Column of lines to a Column.
 
-    Each level cuts the rows of a file by the group's size; levels are declared, not run, here.
+    Each level cuts the rows of a file by the group's size, and is written when this is
+    called; a level at least halves a file's rows, so their number is the logarithm of
+    the longest file's pages. A single row that doesn't fit stays as it is.
     """
     now = mapped_pages.select("file_id", "page", "page_number", "summary")
-    for _ in range(depth):
+    while True:
         size = F.sum(F.length("summary") + 12).over(Window.partitionBy("file_id"))
         n = F.count(F.lit(1)).over(Window.partitionBy("file_id"))
         rows = now.withColumns({"_size": F.floor(size / 3), "_n": n})
         fits = rows.filter((F.col("_size") + overhead <= limit) | (F.col("_n") <= 1)).drop("_size", "_n")
-        over = rows.filter((F.col("_size") + overhead > limit) & (F.col("_n") > 1)).withColumn("_g", group_size(F.col("_size"), F.col("_n"), overhead, limit))
+        over = rows.filter((F.col("_size") + overhead > limit) & (F.col("_n") > 1))
+        if not over.limit(1).count():
+            return fits
+        over = over.withColumn("_g", group_size(F.col("_size"), F.col("_n"), overhead, limit))
         w = Window.partitionBy("file_id").orderBy("page_number")
         over = over.withColumn("_g", F.floor((F.row_number().over(w) - 1) / F.col("_g")).cast("int"))
         got = over.groupBy("file_id", "_g").agg(F.array_sort(F.collect_list(F.struct("page_number", "page", "summary"))).alias("x"))
         label = F.concat(F.lit("pp. "), F.get("x", F.lit(0))["page"], F.lit("-"), F.element_at("x", -1)["page"])
         lines = F.array_join(F.transform("x", lambda r: F.concat(F.lit("Page "), r["page"], F.lit(": "), F.coalesce(r["summary"], F.lit("")))), "\n")
-        now = fits.unionByName(got.select("file_id", label.alias("page"), F.col("_g").alias("page_number"), summarise(lines).alias("summary")))
-    return now
+        now = written(fits.unionByName(got.select("file_id", label.alias("page"), F.col("_g").alias("page_number"), summarise(lines).alias("summary"))), "reduce")
 
 
 def merged_direct(mentions: DataFrame) -> DataFrame:
@@ -182,18 +187,19 @@ def selected(docs: DataFrame, cache: DataFrame, model: str, prompt: str, *, want
 def replied(prompts: DataFrame, backend_name: str, tries: int = 2, most_chars: int = CONTEXT_TOKENS * 3, column: str = "prompt", batch: int = CHUNK_COUNT) -> DataFrame:
     """Adds reply, by a model backend a worker holds: batches first, then single prompts again; '' where none comes.
 
-    A prompt over the limit is cut. An error of a prompt doesn't touch the others.
+    A prompt goes as it is; only one that the model finds too long (TooLong) is cut to
+    ``most_chars`` and asked once more. An error of a prompt doesn't touch the others.
     """
     from pyspark.sql import types as T
 
     schema = T.StructType([*prompts.schema.fields, T.StructField("reply", T.StringType())])
 
     def run(frames):
-        from lexforge.sources.backends import backend
+        from lexforge.sources.backends import TooLong, backend
 
         model = backend(backend_name)
         for frame in frames:
-            asked = [(p or "")[:most_chars] for p in frame[column]]
+            asked = [p or "" for p in frame[column]]
             got: list[str | None] = []
             for i in range(0, len(asked), batch):
                 part = asked[i : i + batch]
@@ -205,6 +211,8 @@ def replied(prompts: DataFrame, backend_name: str, tries: int = 2, most_chars: i
                 for _ in range(tries if not r else 0):
                     try:
                         got[i] = model.generate(asked[i])
+                    except TooLong:
+                        asked[i], got[i] = asked[i][:most_chars], None
                     except Exception:
                         got[i] = None
                     if got[i]:

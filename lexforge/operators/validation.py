@@ -36,8 +36,10 @@ def by_type(checked: DataFrame) -> DataFrame:
 
 
 def fixed(checked: DataFrame) -> DataFrame:
-    """Without names that have an issue, and total_names counted anew."""
-    return checked.filter("issue_type IS NULL").drop("issue_type")
+    """Without names that have an issue, and total_names, of those that stay, counted anew."""
+    left = checked.filter("issue_type IS NULL").drop("issue_type")
+    n = left.groupBy(F.col("file_id").alias("_of")).agg(F.count(F.lit(1)).alias("_n"))
+    return left.join(n, F.col("file_id").eqNullSafe(F.col("_of"))).withColumn("total_names", F.col("_n")).drop("_of", "_n")
 
 
 def valid_files(files: DataFrame) -> DataFrame:

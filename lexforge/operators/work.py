@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexforge.sources.shared import written
+
 # Suffixes of artefacts; files with one of them are no input.
 OUTPUT_SUFFIXES = ["_names.json", "_names_llm.json", "_ner.json", "_clean.json", "_names_clean.json", "_summary.json"]
 SUMMARY_SUFFIXES = ["_names.json", "_names_clean.json", "_summary.json"]
@@ -29,11 +31,10 @@ def assigned(rows: DataFrame, workers: int, key: str = "stem") -> DataFrame:
     """Adds worker: contiguous slices of ceil(n / workers) in order; the last workers may get none.
 
     A row's place comes from its range's first place and its number within the range
-    (ranges by a sort's own sampling), so no task numbers all rows.
+    (ranges by a sort's own sampling), so no task numbers all rows. The numbered rows
+    are written when this is called.
     """
-    from pyspark import StorageLevel
-
-    ranged = rows.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_id", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)
+    ranged = written(rows.repartitionByRange(F.col(key)).sortWithinPartitions(key).withColumn("_id", F.monotonically_increasing_id()), "ranged")
     part = F.shiftright("_id", 33)
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition

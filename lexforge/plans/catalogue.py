@@ -6,18 +6,20 @@ from pyspark.sql import functions as F
 from lexforge.functions import cleaning, names, noise, quality, replies
 from lexforge.functions import text as X
 from lexforge.functions.vocab import (
-    COMMON_WORDS, EMAIL_TOKENS, GARBAGE, GUARDED_TOKENS, HONORIFICS, NOISE_SYMBOLS, NOT_NAMES, OCCUPATION_SYNONYMS, ROLE_PRIORITY, STOPWORDS, SUFFIX_TOKENS, WS, WS_CHARS, as_class, clean_map, punct_class,
+    COMMON_WORDS, EMAIL_TOKENS, GUARDED_TOKENS, HONORIFICS, NOT_NAMES, OCCUPATION_SYNONYMS, ROLE_PRIORITY, STOPWORDS, SUFFIX_TOKENS, WS, WS_CHARS, clean_map, punct_class,
 )
 from lexforge.operators import classify, search, spans, summaries, validation, work
 from lexforge.operators import names as names_op
 from lexforge.plans import pipeline
 from lexforge.sources import files
+from lexforge.sources.shared import spread
 
 FLAGSHIP = "q40_names_by_language"
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(found) if name in ("documents", "conversations", "pages", "customer") else found
 
 
 def documents(spark, sf_dir: str) -> DataFrame:
@@ -149,11 +151,14 @@ def same_length_clean(spark, sf_dir):
     return t.select("doc_id", F.md5("c").alias("clean_md5"), F.length("c").alias("n"))
 
 
-_NOISE = f"""noisy AS (SELECT doc_id, length(text) AS n, {sql_count('text', as_class(GARBAGE))} / CAST(length(text) AS DOUBLE) AS garbage,
+# The tables of the cleaner and of the noise score, stated here once more, as ranges.
+_BOXES = r"\x{203B}\x{2500}\x{2502}\x{250C}\x{2510}\x{2514}\x{2518}\x{251C}\x{2524}\x{252C}\x{2534}\x{253C}\x{2550}-\x{256C}\x{2580}\x{2584}\x{2588}\x{258C}\x{2590}-\x{2593}\x{25A0}\x{25A1}\x{25AA}\x{25AB}\x{25CB}\x{25CC}\x{25CF}\x{2605}\x{2606}\x{2726}\x{2727}"
+_JUNK = _BOXES + r"\x{25D0}-\x{25F0}\x{25B6}-\x{25BA}\x{25C0}-\x{25C3}\x{2190}-\x{21A7}\x{21C4}-\x{21DB}\x{2729}-\x{273B}\x{2200}-\x{221F}\x{A7}\x{B6}\x{2020}-\x{2023}\x{203C}\x{203D}\x{2043}\x{2047}-\x{2049}\x{204C}\x{204D}\x{2E18}"
+_NOISE = f"""noisy AS (SELECT doc_id, length(text) AS n, {sql_count('text', _JUNK)} / CAST(length(text) AS DOUBLE) AS garbage,
  CASE WHEN length(text) < 50 THEN 0.0 ELSE least(1.0, {sql_not('text', noise.COMMON)} / CAST(length(text) AS DOUBLE) * 10) * 0.3
  + least(1.0, len(regexp_extract_all(text, '[A-Za-z][0-9][A-Za-z]|[0-9][A-Za-z][0-9]')) / 20.0e0) * 0.3
  + (CASE WHEN len({sql_tokens('text')}) = 0 THEN 0.0 ELSE len(list_filter({sql_tokens('text')}, lambda t: length(t) <= 2)) / CAST(len({sql_tokens('text')}) AS DOUBLE) END) * 0.2
- + least(1.0, {sql_count('text', as_class(NOISE_SYMBOLS))} / CAST(length(text) AS DOUBLE) * 20) * 0.2 END AS noise FROM documents)"""
+ + least(1.0, {sql_count('text', _BOXES)} / CAST(length(text) AS DOUBLE) * 20) * 0.2 END AS noise FROM documents)"""
 
 
 @query("q05_noise_and_recovery", f"WITH {_NOISE} SELECT doc_id, round(garbage, 6) AS garbage_ratio, round(noise, 6) AS noise_score, n >= 500 AND noise >= 0.15 AS needs_recovery FROM noisy")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lexforge.functions import cleaning, noise
 from lexforge.functions import text as X
 from lexforge.operators import classify, names, spans, work
+from lexforge.sources.shared import written
 
 
 @dataclass(frozen=True)
@@ -30,9 +31,9 @@ def prepared(docs: DataFrame) -> DataFrame:
     return X.once(rows.select("file_id", F.col("text").alias("raw_text")), clean_text=cleaning.cleaned(F.col("raw_text")), noise_score=noise.score(F.col("raw_text")))
 
 
-def tier_one(docs: DataFrame, entities=spans.mock_entities, options: Options = Options()) -> DataFrame:
-    """Spans of the clean texts. entities: (DataFrame, text column) to spans; the mock stands for a model."""
-    ready = prepared(docs)
+def tier_one(docs: DataFrame, entities=spans.mock_entities, options: Options = Options(), ready: DataFrame | None = None) -> DataFrame:
+    """Spans of the clean texts. entities: (DataFrame, text column) to spans; the mock stands for a model. ready: the prepared texts, if they are at hand."""
+    ready = prepared(docs) if ready is None else ready
     found = entities(ready, "clean_text").filter(F.col("confidence") >= options.least_confidence)
     return found
 
@@ -44,9 +45,9 @@ def manifest(docs: DataFrame, found: DataFrame) -> DataFrame:
     return work.manifest_of(ready.join(n, "file_id", "left"))
 
 
-def tier_two(docs: DataFrame, found: DataFrame, classified=classify.mock_classified, options: Options = Options()) -> DataFrame:
+def tier_two(docs: DataFrame, found: DataFrame, classified=classify.mock_classified, options: Options = Options(), ready: DataFrame | None = None) -> DataFrame:
     """Names with offsets, all of them borne out by the raw text, and their normal forms."""
-    ready = prepared(docs)
+    ready = prepared(docs) if ready is None else ready
     if options.recovery:
         n = found.groupBy("file_id").agg(F.count(F.lit(1)).alias("_n"))
         noisy = ready.join(n, "file_id", "left").filter(noise.needs_recovery(F.length("clean_text"), F.coalesce("_n", F.lit(0)), F.col("noise_score"), options.least_noise))
@@ -61,7 +62,12 @@ def mentions(valid: DataFrame) -> DataFrame:
 
 
 def document_names(docs: DataFrame, options: Options = Options()) -> DataFrame:
-    """file_id, name_index (the place in the text), clean_name, role, confidence, of every document's names, one of each."""
-    valid = tier_two(docs, tier_one(docs, options=options), options=options)
+    """file_id, name_index (the place in the text), clean_name, role, confidence, of every document's names, one of each.
+
+    Prepared texts and spans are written once, when this is called; what follows reads them.
+    """
+    ready = written(prepared(docs), "prepared")
+    found = written(tier_one(docs, options=options, ready=ready), "spans")
+    valid = tier_two(docs, found, options=options, ready=ready)
     rows = valid.select("file_id", F.col("start").alias("name_index"), "normalized_name", F.col("text").alias("original_text"), "start", "end", "role", "confidence")
     return names.clean_files(rows)

@@ -5,6 +5,10 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 
+class TooLong(Exception):
+    """A prompt doesn't fit the model's context."""
+
+
 @dataclass
 class BatchStats:
     prompts: int = 0

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from lexforge.functions import cleaning, layout, names, noise, quality, replies
 from lexforge.functions import text as X
-from lexforge.functions.vocab import GARBAGE, INVISIBLE, SPACES, expanded
+from lexforge.functions import vocab
+from lexforge.functions.vocab import GARBAGE, INVISIBLE, SPACES
+from lexforge.operators import spans
 
 TEXTS = [
     "", "  ", "Hello world", "Ma​ria and Ann/Lee 3/4", "a\nb\x00c\td", "x|y {z} a{b}c ˜ a˜b", "éa/üb ﬁne ½ Ⅳ ™ ﷺ", "█▓ box │ text", "A01 J0HN 5am| wh!t !x 8 B8B", "no break space ﻿",
@@ -21,7 +23,7 @@ def run(spark, values, *columns):
 
 
 def slow_clean(raw, aggressive):
-    blank, out = {*expanded(INVISIBLE), *expanded(SPACES), *(expanded(GARBAGE) if aggressive else [])}, []
+    blank, out = {*INVISIBLE, *SPACES, *(GARBAGE if aggressive else [])}, []
     for i, c in enumerate(raw):
         if c in blank:
             out.append(" ")
@@ -39,7 +41,7 @@ def test_cleaning_keeps_lengths_and_offsets(spark):
     got = run(spark, TEXTS, cleaning.same_length(F.col("x")), cleaning.same_length(F.col("x"), True), cleaning.cleaned(F.col("x")), cleaning.garbage_ratio(F.col("x")))
     for raw, (plain, hard, either, ratio) in zip(TEXTS, got, strict=True):
         assert plain == slow_clean(raw, False) and hard == slow_clean(raw, True), raw
-        share = sum(c in set(expanded(GARBAGE)) for c in raw) / len(raw) if raw else 0.0
+        share = sum(c in set(GARBAGE) for c in raw) / len(raw) if raw else 0.0
         assert ratio == pytest.approx(share) and either == (hard if share > 0.05 else plain) and len(either) == len(raw)
 
 
@@ -48,7 +50,7 @@ def slow_noise(t):
         return 0.0
     common = set("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789 \n\t.,;:!?'\"-()[]{}@#$%&*/")
     words = t.split()
-    boxes = set(expanded([(0x2580, 0x2580), 0x2584, 0x2588, 0x258C, (0x2590, 0x2593), 0x2502]))
+    boxes = set("▀▄█▌▐░▒▓│")
     parts = [min(1, sum(c not in common for c in t) / len(t) * 10), min(1, len(re.findall(r"[A-Za-z][0-9][A-Za-z]|[0-9][A-Za-z][0-9]", t)) / 20), sum(len(w) <= 2 for w in words) / len(words) if words else 0, min(1, sum(c in boxes for c in t) / len(t) * 20)]
     return sum(p * w for p, w in zip(parts, (0.3, 0.3, 0.2, 0.2), strict=True))
 
@@ -144,3 +146,31 @@ def test_page_images(spark):
     got = spark.createDataFrame([(profile,)], "r array<double>").select(layout.profile_bands(F.col("r"), 0.4).alias("b")).withColumn("cv", layout.profile_cv(F.col("b"))).first()
     assert got.b == layout.bands(np.array(profile), 0.4) and got.cv == pytest.approx(layout.spacing_cv(got.b))
     assert layout.spacing_cv([3]) == -1.0 and layout.spacing_cv([3, 3]) == 99.0
+
+
+def test_tables_of_the_cleaner(spark):
+    """Sizes, and some of each group."""
+    assert len(vocab.GARBAGE) == len(set(vocab.GARBAGE)) == 216 and len(vocab.NOISE_SYMBOLS) == len(set(vocab.NOISE_SYMBOLS)) == 60 and len(vocab.SPACES) == 16
+    assert set("█▓│╬■●◰←↧⇄⇖⇗⇘⇙⇚⇛►◃★✻※∀∟§¶†⁍‽⸘") <= set(vocab.GARBAGE) and not set("a·⇜⇃✼∠") & set(vocab.GARBAGE)
+    texts = ["", "plain", "⇖⇗ x", "§a¶", "é" * 10 + "█", vocab.GARBAGE, "⇜⇃"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", X.count_among(F.col("t"), vocab.GARBAGE).alias("n"), cleaning.garbage_ratio(F.col("t")).alias("r"), cleaning.same_length(F.col("t"), True).alias("c")).collect()
+    assert {r.i: r.n for r in rows} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 1, 5: 216, 6: 0}
+    assert {r.i: r.c for r in rows}[5] == " " * 216 and {r.i: round(r.r, 6) for r in rows}[4] == round(1 / 11, 6)
+
+
+def test_capitalised_runs(spark):
+    """As the plain pattern finds them, on any length, without stack."""
+    plain = re.compile(r"(?<![^\W])[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*(?![^\W])")
+    rng = np.random.default_rng(0)
+    texts = ["".join(rng.choice(list("ABab1_ é\n."), rng.integers(0, 30))) for _ in range(500)] + ["Ab " * 400_000, "Abc Def1 Gh", "Ab Cd Ef2"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "file_id int, text string")
+    got = {}
+    for r in spans.matches(docs, spans.CAPITALISED_RUN).collect():
+        got.setdefault(r.file_id, []).append((r.start, r.end))
+    assert got == {i: f for i, t in enumerate(texts) if (f := [m.span() for m in plain.finditer(t)])}
+
+
+def test_signals_on_hostile_texts(spark):
+    for x in ("a.", "Ab ", "ab", "7", "[", "\n", "a1 ", "█"):
+        row = spark.createDataFrame([(x * (1_000_000 // len(x)),)], "t string").select(quality.gate(F.col("t")).alias("g"), noise.score(F.col("t")).alias("n"), cleaning.cleaned(F.col("t")).alias("c")).first()
+        assert row.g.text_length <= 1_000_000 and 0 <= row.n <= 1 and len(row.c) == len(x) * (1_000_000 // len(x))
