@@ -37,26 +37,31 @@ _HASH_BITS = 20
 
 
 def compress(ids: np.ndarray, counts: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(rules n x 2, expanded lengths, sequence, symbols of each document) of the ids of documents of ``counts`` ids."""
-    seq = ids.astype(np.int64)
+    """(rules n x 2, expanded lengths, sequence, symbols of each document) of the ids of documents of ``counts`` ids.
+
+    Pairs are counted by a hash; a slot stands for the pair that came last in it, and
+    another frequent pair of that slot has its turn in a round of another hash.
+    """
+    seq = ids.astype(np.uint32)
     ends = np.zeros(len(seq), bool)
     ends[np.cumsum(counts)[counts > 0] - 1] = True
     rules: list[np.ndarray] = []
-    made = first
+    made, slots = first, 1 << _HASH_BITS
     while len(seq) > 1:
-        keys = (seq[:-1] << 31) | seq[1:]
-        slot = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _HASH_BITS)).astype(np.int32)
-        slot[ends[:-1]] = 1 << _HASH_BITS  # no pair across a document's end
-        seen = np.bincount(slot, minlength=(1 << _HASH_BITS) + 1)
+        slot = seq[:-1] * np.uint32(0x9E3779B1)
+        slot += seq[1:] * np.uint32(0x85EBCA77 + 2 * len(rules))
+        slot ^= slot >> np.uint32(15)
+        slot *= np.uint32(0xC2B2AE3D)
+        slot >>= np.uint32(32 - _HASH_BITS)
+        slot = slot.view(np.int32)
+        slot[ends[:-1]] = slots  # no pair across a document's end
+        seen = np.bincount(slot, minlength=slots + 1)
         seen[-1] = 0
         least = LEAST_COUNT
         if np.count_nonzero(seen >= least) > ROUND_PAIRS:
             least = max(least, int(np.partition(seen, len(seen) - ROUND_PAIRS)[len(seen) - ROUND_PAIRS]))
         for limit in dict.fromkeys((least, LEAST_COUNT)):  # slots that reach the higher limit may do so by rare pairs together
-            at = np.flatnonzero(seen[slot] >= limit)
-            pairs, which, n = np.unique(keys[at], return_inverse=True, return_counts=True)
-            good = n >= limit
-            at, which = at[good[which]], which[good[which]]
+            at, name, pairs = _frequent(seq, slot, seen, limit, slots)
             if len(at):
                 break
         if not len(at):
@@ -64,11 +69,12 @@ def compress(ids: np.ndarray, counts: np.ndarray, first: int) -> tuple[np.ndarra
         # of overlapping pairs every other one counts, from the left of a run
         run = np.concatenate([[True], np.diff(at) > 1])
         place = np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]
-        at, which = at[place % 2 == 0], which[place % 2 == 0]
-        used, which = np.unique(which, return_inverse=True)
-        rules.append(np.stack([pairs[used] >> 31, pairs[used] & ((1 << 31) - 1)], axis=1))
-        seq[at] = made + which
-        made += len(used)
+        at, name = at[place % 2 == 0], name[place % 2 == 0]
+        some = np.zeros(len(pairs), bool)
+        some[name] = True
+        rules.append(np.stack([pairs[some] >> 31, pairs[some] & ((1 << 31) - 1)], axis=1))
+        seq[at] = (made + np.cumsum(some) - 1).astype(np.uint32)[name]
+        made += int(some.sum())
         ends[at] = ends[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
@@ -79,7 +85,27 @@ def compress(ids: np.ndarray, counts: np.ndarray, first: int) -> tuple[np.ndarra
     all_rules = np.concatenate(rules).astype(np.int32) if rules else np.zeros((0, 2), np.int32)
     symbols = np.zeros(len(counts), np.int64)
     symbols[counts > 0] = np.diff(np.flatnonzero(ends), prepend=-1)
-    return all_rules, expanded_lengths(all_rules, first), seq, symbols
+    return all_rules, expanded_lengths(all_rules, first), seq.astype(np.int64), symbols
+
+
+def _frequent(seq: np.ndarray, slot: np.ndarray, seen: np.ndarray, limit: int, slots: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of pairs that occur ``limit`` times, which pair each is, and the pairs."""
+    at = np.flatnonzero((seen >= limit)[slot])
+    keys, mine = (seq[at].astype(np.int64) << 31) | seq[at + 1], slot[at]
+    last = np.full(slots, -1, np.int64)
+    last[mine] = keys
+    same = keys == last[mine]
+    n = np.bincount(mine[same], minlength=slots)
+    same &= (n >= limit)[mine]
+    if same.any() or not len(at):
+        names = np.flatnonzero(n >= limit)
+        number = np.zeros(slots, np.int64)
+        number[names] = np.arange(len(names))
+        return at[same], number[mine[same]], last[names]
+    # no slot's last pair is frequent; whether another is, a sort tells
+    pairs, which, n = np.unique(keys, return_inverse=True, return_counts=True)
+    good = n[which] >= limit
+    return at[good], which[good], pairs
 
 
 def expanded_lengths(rules: np.ndarray, first: int) -> np.ndarray:
