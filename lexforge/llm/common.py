@@ -100,5 +100,6 @@ def binary_data(array: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices start, start + 1, ... of every range, one range after another."""
     ends = np.cumsum(lengths)
-    total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)
+    out = np.repeat(np.asarray(starts - (ends - lengths), np.int64), lengths)
+    out += np.arange(len(out))
+    return out

@@ -43,8 +43,7 @@ def compress(ids: np.ndarray, counts: np.ndarray, first: int) -> tuple[np.ndarra
     another frequent pair of that slot has its turn in a round of another hash.
     """
     seq = ids.astype(np.uint32)
-    ends = np.zeros(len(seq), bool)
-    ends[np.cumsum(counts)[counts > 0] - 1] = True
+    last = np.cumsum(counts)[counts > 0] - 1  # where documents end
     rules: list[np.ndarray] = []
     made, slots = first, 1 << _HASH_BITS
     while len(seq) > 1:
@@ -54,7 +53,7 @@ def compress(ids: np.ndarray, counts: np.ndarray, first: int) -> tuple[np.ndarra
         slot *= np.uint32(0xC2B2AE3D)
         slot >>= np.uint32(32 - _HASH_BITS)
         slot = slot.view(np.int32)
-        slot[ends[:-1]] = slots  # no pair across a document's end
+        slot[last[:-1]] = slots  # no pair across a document's end
         seen = np.bincount(slot, minlength=slots + 1)
         seen[-1] = 0
         least = LEAST_COUNT
@@ -75,16 +74,16 @@ def compress(ids: np.ndarray, counts: np.ndarray, first: int) -> tuple[np.ndarra
         rules.append(np.stack([pairs[some] >> 31, pairs[some] & ((1 << 31) - 1)], axis=1))
         seq[at] = (made + np.cumsum(some) - 1).astype(np.uint32)[name]
         made += int(some.sum())
-        ends[at] = ends[at + 1]
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         before = len(seq)
-        seq, ends = seq[keep], ends[keep]
+        seq = seq[keep]
+        last = last - np.searchsorted(at, last, side="left")  # the second ids before an end, or at it, are gone
         if before - len(seq) < LEAST_GAIN * before:
             break
     all_rules = np.concatenate(rules).astype(np.int32) if rules else np.zeros((0, 2), np.int32)
     symbols = np.zeros(len(counts), np.int64)
-    symbols[counts > 0] = np.diff(np.flatnonzero(ends), prepend=-1)
+    symbols[counts > 0] = np.diff(last, prepend=-1)
     return all_rules, expanded_lengths(all_rules, first), seq.astype(np.int64), symbols
 
 
@@ -108,10 +107,22 @@ def _frequent(seq: np.ndarray, slot: np.ndarray, seen: np.ndarray, limit: int, s
     return at[good], which[good], pairs
 
 
+def rounds(rules: np.ndarray, first: int):
+    """(begin, end) of rules that use only rules before begin."""
+    uses = rules.max(axis=1) - first if len(rules) else np.zeros(0, np.int64)
+    begin = 0
+    while begin < len(rules):
+        over = np.flatnonzero(uses[begin:] >= begin)
+        end = begin + int(over[0]) if len(over) else len(rules)
+        yield begin, end
+        begin = end
+
+
 def expanded_lengths(rules: np.ndarray, first: int) -> np.ndarray:
-    lengths = np.ones(len(rules), np.int64)
-    for i, (a, b) in enumerate(rules.tolist()):
-        lengths[i] = (lengths[a - first] if a >= first else 1) + (lengths[b - first] if b >= first else 1)
+    lengths = np.zeros(len(rules), np.int64)
+    for i, j in rounds(rules, first):
+        for x in rules[i:j].T:
+            lengths[i:j] += np.where(x >= first, lengths[np.maximum(x - first, 0)], 1)
     return lengths
 
 
@@ -121,12 +132,15 @@ class Grammar:
     def __init__(self, rules: np.ndarray, expanded: np.ndarray, first: int):
         self.first, self.lengths = first, np.asarray(expanded, np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
-        self.pool = np.zeros(int(self.lengths.sum()), np.int64)
-        for i, (a, b) in enumerate(rules.tolist()):
-            at = self.starts[i]
-            for x in (a, b):
-                n = self.lengths[x - first] if x >= first else 1
-                self.pool[at : at + n] = self.pool[self.starts[x - first] : self.starts[x - first] + n] if x >= first else x
+        self.pool = np.zeros(int(self.lengths.sum()), np.uint32)
+        for i, j in rounds(rules, first):
+            at = self.starts[i:j].copy()
+            for x in rules[i:j].T.astype(np.int64):
+                made = x >= first
+                self.pool[at[~made]] = x[~made]
+                n = np.ones(j - i, np.int64)
+                n[made] = self.lengths[x[made] - first]
+                self.pool[ragged(at[made], n[made])] = self.pool[ragged(self.starts[x[made] - first], n[made])]
                 at += n
 
     def sizes(self, seq: np.ndarray) -> np.ndarray:
@@ -137,14 +151,12 @@ class Grammar:
         return out
 
     def expand(self, seq: np.ndarray) -> np.ndarray:
-        sizes = self.sizes(seq)
-        ends = np.cumsum(sizes)
-        out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint32)
+        # an id that isn't made by a rule is a piece of length one, behind the rules' own
+        pool = np.concatenate([self.pool, seq.astype(np.uint32)])
         made = seq >= self.first
-        out[(ends - sizes)[~made]] = seq[~made]
-        rule = seq[made] - self.first
-        out[ragged((ends - sizes)[made], sizes[made])] = self.pool[ragged(self.starts[rule], sizes[made])]
-        return out
+        starts, sizes = np.arange(len(self.pool), len(pool)), np.ones(len(seq), np.int64)
+        starts[made], sizes[made] = self.starts[seq[made] - self.first], self.lengths[seq[made] - self.first]
+        return pool[ragged(starts, sizes)]
 
     def between(self, seq: np.ndarray, begin: int, end: int) -> np.ndarray:
         """Ids begin to end (exclusive) of the sequence, expanding only the symbols that reach into the range."""

@@ -61,7 +61,10 @@ class PieceEncoder:
         index = self.index
         unknown = [x for x in pieces if x not in index]
         if self.word_ends is not None:
-            unknown = self._joined([x for x in unknown if x.isalpha()]) + [x for x in unknown if not x.isalpha()]
+            letters, others = [], []
+            for x in unknown:
+                (letters if x.isalpha() else others).append(x)
+            unknown = self._joined(letters) + others
         for begin in range(0, len(unknown), 5000):
             part = unknown[begin : begin + 5000]
             for word, got in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
@@ -70,7 +73,7 @@ class PieceEncoder:
                 self.starts.append(len(self.pool))
                 self.lengths.append(len(ids))
                 self.pool.extend(ids)
-        return np.fromiter((index[x] for x in pieces), np.int64, count=len(pieces))
+        return np.fromiter(map(index.__getitem__, pieces), np.int64, count=len(pieces))
 
     def _joined(self, words: list[str]) -> list[str]:
         """Encodes words of letters many to a text, parted by the ids that end words; returns those left over."""
