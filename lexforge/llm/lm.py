@@ -45,6 +45,8 @@ SCORE_LANES, SCORE_WINDOW = 512, 32
 END = 0
 #: Floats of the weights that are averaged together.
 CHUNK = 4096
+#: Tasks whose weights are summed in one group.
+FAN_IN = 64
 
 BLOCKS = "block long, doc_ids array<long>, held binary, lengths binary, codes binary, words array<string>, trained binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -59,7 +61,7 @@ def planes(codes: np.ndarray) -> np.ndarray:
 
 
 def from_planes(data: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(data.reshape(4, -1).T).view("<i4").ravel().astype(np.int64)
+    return np.ascontiguousarray(data.reshape(4, -1).T).view("<i4").ravel()
 
 
 def tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
@@ -152,7 +154,7 @@ class Vocabulary:
     def of(self, words: pa.Array) -> np.ndarray:
         """The network's token of each word."""
         get, rare = self.words.get, self.rare
-        return np.fromiter((got if (got := get(w)) is not None else rare[zlib.crc32(w[-2:].encode()) % RARE] for w in words.to_pylist()), np.int64, count=len(words))
+        return np.fromiter((got if (got := get(w)) is not None else rare[zlib.crc32(w[-2:].encode()) % RARE] for w in words.to_pylist()), np.int32, count=len(words))
 
     def share(self, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 of each word's smoothed share of its bucket; 0 for words that are tokens themselves."""
@@ -364,7 +366,7 @@ def train(w: Weights, vocabulary: Vocabulary, tokens: np.ndarray, lengths: np.nd
 
 def likelihoods(w: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """ln P of every token of whole documents, in order; each lane carries its state through its documents."""
-    out = np.zeros(len(tokens))
+    out = np.zeros(len(tokens), np.float32)
     firsts = np.cumsum(lengths) - lengths
     heap = [(0, lane) for lane in range(min(SCORE_LANES, len(lengths)))]
     lanes: list[list[int]] = [[] for _ in heap]
@@ -377,7 +379,8 @@ def likelihoods(w: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarr
     sizes = np.array([len(x) for x in places])
     begins = np.zeros(len(tokens), bool)
     begins[firsts] = True
-    before = np.where(begins, END, np.concatenate([[END], tokens[:-1]]))
+    before = np.concatenate([tokens[:0], np.array([END], tokens.dtype), tokens[:-1]])
+    before[begins] = END
     state = np.zeros((HIDDEN, len(lanes)), np.float32)
     for at in range(0, int(sizes.max()) if len(sizes) else 0, SCORE_WINDOW):
         live = int((sizes > at).sum())
@@ -411,7 +414,7 @@ def dictionary(rows: DataFrame) -> DataFrame:
     return rows.select("block", "words", "trained").mapInArrow(run, "block long, pos int, word string, n long")
 
 
-def averaged(rows: DataFrame, vocabulary: Vocabulary, flat: np.ndarray, part: int, parts: int) -> np.ndarray:
+def averaged(rows: DataFrame, n_blocks: int, vocabulary: Vocabulary, flat: np.ndarray, part: int, parts: int) -> np.ndarray:
     """The weights after a round: each task's own, averaged by the tokens it went through."""
 
     def run(batches):
@@ -435,13 +438,17 @@ def averaged(rows: DataFrame, vocabulary: Vocabulary, flat: np.ndarray, part: in
 
     def summed(group: pa.Table) -> pa.Table:
         totals = [np.frombuffer(x.as_buffer(), np.float64) for x in group.column("total")]
-        return pa.table({"chunk": group.column("chunk").slice(0, 1), "salt": pa.array([0], pa.int32()), "tokens": [pc.sum(group.column("tokens")).as_py()], "total": [np.sum(totals, axis=0).tobytes()]})
+        return pa.table({"chunk": group.column("chunk").slice(0, 1), "salt": group.column("salt").slice(0, 1), "tokens": [pc.sum(group.column("tokens")).as_py()], "total": [np.sum(totals, axis=0).tobytes()]})
 
     schema = "chunk int, salt int, tokens long, total binary"
     trained = rows.select("block", "doc_ids", "held", "lengths", "codes", "words").mapInArrow(run, schema)
-    # tasks' weights are summed in two steps, so that no group holds those of all tasks
-    halfway = trained.groupBy("chunk", F.floor(F.col("salt") / 64)).applyInArrow(summed, schema)
-    done = sorted(halfway.groupBy("chunk").applyInArrow(summed, schema).collect(), key=lambda r: r.chunk)
+    # tasks' weights are summed in levels, so that no group holds more than FAN_IN of them
+    tasks, level = n_blocks, 0
+    while tasks > FAN_IN:
+        tasks, level = -(-tasks // FAN_IN), level + 1
+    for left in range(level, 0, -1):
+        trained = trained.groupBy("chunk", F.pmod(F.xxhash64("salt", F.lit(left)), F.lit(FAN_IN**left)).cast("int").alias("to")).applyInArrow(summed, schema)
+    done = sorted(trained.groupBy("chunk").applyInArrow(summed, schema).collect(), key=lambda r: r.chunk)
     if not done:
         return flat
     return np.concatenate([np.frombuffer(bytes(r.total), np.float64) / r.tokens for r in done]).astype(np.float32)
@@ -465,9 +472,9 @@ def scored(docs: DataFrame) -> DataFrame:
     left_out = known.filter(~F.col("word").isin([w for w, _ in frequent])) if frequent else known
     buckets = {r.b: (r.n, r.kinds) for r in left_out.groupBy(bucket(F.col("word")).alias("b")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("kinds")).collect()}
     vocabulary = Vocabulary(frequent, buckets, ends)
-    flat = Weights(vocabulary).flat
+    flat, n_blocks = Weights(vocabulary).flat, rows.count()
     for part in range(ROUNDS):
-        flat = averaged(rows, vocabulary, flat, part, ROUNDS)
+        flat = averaged(rows, n_blocks, vocabulary, flat, part, ROUNDS)
     n_train, n_kinds = total + ends, kinds + (1 if ends else 0)
 
     back = entries.select("block", "pos", "word").join(counts, "word").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("pos", "n"))).alias("found"))
@@ -483,11 +490,13 @@ def scored(docs: DataFrame) -> DataFrame:
                 base = lambda c: np.log10((c + 0.1) / (n_train + 0.1 * (n_kinds + 1)))
                 values, lengths = block.tokens(tokens, END)
                 firsts = np.cumsum(lengths) - lengths
-                sums = lambda x: np.add.reduceat(x, firsts)
-                model = likelihoods(w, values, lengths) / np.log(10) + block.tokens(vocabulary.share(tokens, got), 0.0)[0]
-                n_known = sums(block.tokens((got > 0).astype(np.int64), int(ends > 0))[0])
+                sums = lambda x, kind=np.float64: np.add.reduceat(x, firsts, dtype=kind)
+                model = sums(likelihoods(w, values, lengths)) / np.log(10)
+                del values  # arrays of a block's tokens are large: one at a time
+                model += sums(block.tokens(vocabulary.share(tokens, got), 0.0)[0])
+                n_known = sums(block.tokens((got > 0).astype(np.int8), int(ends > 0))[0], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [block.doc_ids, pa.array(block.held == 1), pa.array(lengths), pa.array(n_known), pa.array(np.full(len(lengths), n_train)), pa.array(sums(block.tokens(base(got), base(ends))[0])), pa.array(sums(model))],
+                    [block.doc_ids, pa.array(block.held == 1), pa.array(lengths), pa.array(n_known), pa.array(np.full(len(lengths), n_train)), pa.array(sums(block.tokens(base(got), base(ends))[0])), pa.array(model)],
                     ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
 

@@ -34,6 +34,7 @@ def language(spark, docs):
 def test_base_scores_and_the_gain_over_them(spark, docs, empty, monkeypatch):
     monkeypatch.setattr(lm, "BLOCK_BYTES", 20_000)
     monkeypatch.setattr(lm, "LANES", 32)
+    monkeypatch.setattr(lm, "FAN_IN", 2)  # several levels of sums
     frame = language(spark, docs)
     got = lm.scored(frame.withColumn("block", F.lit("x"))).collect()
     rows = [(r.doc_id, r.text) for r in frame.collect()]
@@ -43,6 +44,51 @@ def test_base_scores_and_the_gain_over_them(spark, docs, empty, monkeypatch):
     assert lm.scored(empty).count() == 0
 
 
+def test_every_score_again(spark, docs, monkeypatch):
+    """Document by document, token by token, from the counts and the weights that scoring used."""
+    used = []
+
+    def noisy(rows, n_blocks, vocabulary, flat, part, parts):
+        used.append((vocabulary, (flat + np.random.default_rng(part).normal(0, 0.2, flat.shape)).astype(np.float32)))
+        return used[-1][1]
+
+    monkeypatch.setattr(lm, "averaged", noisy)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(lm, "TOKENS", 64)
+    frame = language(spark, docs)
+    got = Counter((r.doc_id, r.n_tokens, round(r.score, 3)) for r in lm.scored(frame).collect())
+    vocabulary, flat = used[-1]
+    w, counts, expected, bucket = lm.Weights(vocabulary, flat), Counter(), Counter(), {}
+    lower = lambda t: WORDS.findall("".join(c.lower() if c.isascii() else c for c in t or ""))
+    rows = [(r.doc_id, r.text) for r in frame.collect()]
+    for doc_id, text in rows:
+        if doc_id is None or zlib.crc32(str(doc_id).encode()) % 10:
+            counts.update(lower(text))
+    for word, n in counts.items():
+        if word not in vocabulary.words:
+            total, kinds = bucket.get(b := zlib.crc32(word[-2:].encode()) % lm.RARE, (0, 0))
+            bucket[b] = total + n, kinds + 1
+    for doc_id, text in rows:
+        tokens, state, before, score = [], np.zeros((lm.HIDDEN, 1), np.float32), lm.END, 0.0
+        for word in [*lower(text), None]:
+            b = None if word is None else zlib.crc32(word[-2:].encode()) % lm.RARE
+            token = lm.END if word is None else vocabulary.words.get(word, int(vocabulary.rare[b]))
+            states, state = lm.forward(w, np.array([[before]]), np.zeros((1, 1), bool), state)
+            logits = w.wc @ states[:, 0] + w.bc[:, 0], w.wm[token // lm.MEMBERS] @ states[:, 0] + w.bm[token // lm.MEMBERS][:, 0]
+            for x, at in zip(logits, divmod(token, lm.MEMBERS), strict=True):
+                score += (x[at] - np.log(np.exp(x - x.max()).sum()) - x.max()) / np.log(10)
+            if word is not None and word not in vocabulary.words:
+                total, kinds = bucket.get(b, (0, 0))
+                score += np.log10((counts[word] + 0.1) / (total + 0.1 * (kinds + 1)))
+            before = token
+            tokens.append(token)
+        expected[doc_id, len(tokens), score] += 1
+    assert got.total() == expected.total()
+    mine = sorted(((i is None, i or 0, n, x) for (i, n, x), k in expected.items() for _ in range(k)))
+    theirs = sorted(((i is None, i or 0, n, x) for (i, n, x), k in got.items() for _ in range(k)))
+    assert all(a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-3 + 1e-4 * abs(a[3]) for a, b in zip(mine, theirs, strict=True))
+
+
 def model():
     rng = np.random.default_rng(0)
     vocabulary = lm.Vocabulary([(f"w{i}", 100 - i) for i in range(60)], {b: (b, 2) for b in range(lm.RARE)}, 50)
