@@ -15,13 +15,16 @@
    member (the number of documents linked to it) and a spanning forest of the links.
 5. Components of the verified links are the near-duplicate classes.
 
-Rows that leave any step are in proportion to documents, never to pairs.
+Rows that leave any step are in proportion to documents, never to pairs; what goes into
+the fourth is a document's set once for each block of its component, so a component of
+n different texts costs n^2 / BLOCK sets.
 
 Words are runs of characters other than space and \\t to \\r, as they stand. A text of
 one to four words has one n-gram: all its words. Defined cases: null or empty texts
 have no n-grams and are linked to equal texts only; null or repeated ids are rows
 like others (the class id is the least id of its rows, null if all are); an empty
-table gives no row; other columns are ignored.
+table gives no row; texts of any length are read whole; other columns, of any name, are
+ignored. The join runs, but for its last steps, when it is called.
 """
 
 import numpy as np
@@ -37,7 +40,7 @@ NGRAM, THRESHOLD = 5, 0.8
 #: Target recall of a pair just at the threshold, and the most hash functions spent on it.
 RECALL, MOST_FUNCTIONS = 0.999, 216
 #: Members and n-grams of a block of a large component.
-BLOCK, BLOCK_NGRAMS = 256, 4 << 20
+BLOCK, BLOCK_NGRAMS = 1024, 4 << 20
 #: Rows of 48 bytes that a broadcast of dropped documents may have.
 MOST_BROADCAST = 1 << 20
 
@@ -173,11 +176,11 @@ def _verified(rows: list[tuple], threshold: float) -> tuple[np.ndarray, np.ndarr
     names, codes = np.unique(data, return_inverse=True)
     starts = np.cumsum(sizes) - sizes
     mark = np.zeros(len(names), np.int32)
-    one_side = rows[0][4]
+    block, one_side = np.array([r[0] for r in rows]), rows[0][4]
     left, right = [], []
     for x in range(n - 1):
         # in a task of two blocks, pairs within a block are another task's
-        later = np.arange(x + 1, n) if one_side else x + 1 + np.flatnonzero(np.array([rows[y][0] != rows[x][0] for y in range(x + 1, n)]))
+        later = np.arange(x + 1, n) if one_side else x + 1 + np.flatnonzero(block[x + 1 :] != block[x])
         later = later[(sizes[later] >= threshold * sizes[x]) & (sizes[x] >= threshold * sizes[later])]
         if not len(later):
             continue
@@ -324,3 +327,24 @@ def deduplicated(docs: DataFrame, **options) -> DataFrame:
 
 def op6_query(spark, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
+OP6_SQL = """
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS i, text, min(doc_id) AS rep, count(*) AS copies FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) GROUP BY text
+), w AS (
+  SELECT i, list_filter(regexp_split_to_array(text, '[ \\x09-\\x0D]+'), lambda x: x <> '') AS words FROM t
+), g AS (
+  SELECT DISTINCT i, array_to_string(words[k:k + 4], ' ') AS gram
+  FROM (SELECT i, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS k FROM w WHERE len(words) > 0)
+), n AS (SELECT i, count(*) AS n FROM g GROUP BY i),
+shared AS (SELECT a.i AS a, b.i AS b, count(*) AS s FROM g a JOIN g b ON a.gram = b.gram AND a.i <> b.i GROUP BY a.i, b.i),
+links AS (
+  SELECT a, b FROM shared JOIN n x ON a = x.i JOIN n y ON b = y.i WHERE 1000 * s >= 800 * (x.n + y.n - s)
+), reach AS (
+  SELECT i AS a, i AS b FROM t UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), classes AS (SELECT a AS i, min(rep) AS class_id FROM reach JOIN t ON t.i = reach.b GROUP BY a),
+counts AS (SELECT a AS i, sum(copies) AS n FROM links JOIN t ON t.i = links.b GROUP BY a)
+SELECT d.doc_id, class_id, CAST(t.copies - 1 + coalesce(counts.n, 0) AS BIGINT) AS n_links
+FROM documents d JOIN t ON coalesce(d.text, '') = t.text JOIN classes ON t.i = classes.i LEFT JOIN counts ON t.i = counts.i
+"""

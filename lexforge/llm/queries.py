@@ -19,4 +19,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_quality_rules": quality.OP3_SQL, "op8_top_k": topk.OP8_SQL}
+    return {"op3_quality_rules": quality.OP3_SQL, "op6_ngram_jaccard": jaccard.OP6_SQL, "op8_top_k": topk.OP8_SQL}

@@ -7,9 +7,10 @@ query's row of a dense score array over the block. A partition selection keeps t
 block's k best, and the k best of all blocks seen so far are merged as they come, so
 a task returns k rows a query. Scores are 64-bit integers, so sums are exact.
 
-Queries are a stated set. They go against all rows in blocks: candidate blocks are
-sent once to every query block (one for each ``query_block`` queries), where they
-are dealt over tasks, a few blocks each; a last merge takes the k best of these.
+Queries are a stated set. They go against all rows in blocks: candidate blocks stay
+where they lie, and batches of queries of a bounded size (``batch_bytes``) are sent to
+them, a job a batch. A task keeps the k best of each query over all its blocks, so k
+rows a query and task are shuffled, to a last merge.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, and
 rows without an id take no part; vectors may differ in length (a missing component
@@ -20,6 +21,7 @@ row. Other columns are ignored.
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,9 +29,8 @@ from pyspark.sql import functions as F
 from lexforge.llm.common import binary_array, binary_data, ragged, table, written
 
 BLOCK_ROWS = 2048
-QUERY_BLOCK = 512
-#: Candidate blocks that a task goes through.
-TASK_BLOCKS = 4
+#: Terms and weights of the queries that are sent out together.
+BATCH_BYTES = 32 << 20
 
 BLOCKS = "block long, ids binary, lengths binary, terms binary, weights binary"
 FOUND = "query_id long, query_block long, query_at long, vec_id long, block long, at long, score long"
@@ -106,24 +107,39 @@ def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((at, ids[at], -scores[at]))]
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 5, query_block: int = QUERY_BLOCK, task_blocks: int = TASK_BLOCKS) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's k best of all other rows.
 
-    vectors: id long, vector array<long>, without nulls; is_query: over ``id``.
+    vectors: id long, vector array<long>, without nulls; is_query: over ``id``. The
+    search runs, a job for each batch of queries, when this is called.
     """
     packed = written(blocks(vectors), "vector-blocks")
     # the queries as rows of their own: their place in a candidate block tells them from equal rows
-    asked = packed.select("block", "ids", "lengths", "terms", "weights").mapInArrow(_unblocked, "id long, block long, at long, terms array<long>, weights array<long>").filter(is_query)
-    n_queries, spread = asked.count(), max(1, -(-packed.count() // task_blocks))
-    n_blocks = max(1, -(-n_queries // query_block))
-    grouped = asked.withColumn("query_group", F.pmod(F.xxhash64("block", "at"), F.lit(n_blocks)).cast("int"))
-    groups = grouped.groupBy("query_group").agg(F.collect_list(F.struct("id", "block", "at", "terms", "weights")).alias("queries"))
-    sent = packed.withColumn("query_group", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).withColumn("dealt", F.pmod(F.xxhash64("block"), F.lit(spread)))
-    copies = groups.withColumn("dealt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-
-    found = sent.groupBy("query_group", "dealt").cogroup(copies.groupBy("query_group", "dealt")).applyInArrow(lambda a, b: _searched(a, [q for x in b.column("queries").to_pylist() for q in x], k), FOUND)
+    asked = packed.mapInArrow(_unblocked, "id long, block long, at long, terms array<long>, weights array<long>").filter(is_query)
+    asked = written(asked, "queries")
+    n, terms = asked.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("terms")), F.lit(0))).first()
+    n_batches = max(1, -(-(24 * n + 16 * terms) // batch_bytes))
+    found = []
+    for batch in range(n_batches):
+        queries = asked.filter(F.pmod(F.xxhash64("block", "at"), F.lit(n_batches)) == batch).orderBy("id", "block", "at").toArrow() if n else None
+        if queries is not None and len(queries):
+            found.append(written(packed.mapInArrow(_search(_arrays(queries), k), FOUND), "found"))
+    if not found:
+        found = [packed.limit(0).mapInArrow(_search(None, k), FOUND)]
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
     w = Window.partitionBy("query_block", "query_at").orderBy(F.desc("score"), "vec_id", "block", "at")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return every.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _arrays(queries: pa.Table) -> dict[str, np.ndarray]:
+    """A batch of queries as plain arrays; they go out with the search's function, which Spark broadcasts."""
+    table = queries.combine_chunks()
+    lists = table.column("terms").combine_chunks()
+    out = {c: np.asarray(table.column(c), dtype=np.int64) for c in ("id", "block", "at")}
+    out["starts"] = np.concatenate([[0], np.cumsum(np.asarray(pc.list_value_length(lists), dtype=np.int64))])
+    return out | {c: np.asarray(pc.list_flatten(table.column(c).combine_chunks()), dtype=np.int64) for c in ("terms", "weights")}
 
 
 def _unblocked(batches):
@@ -138,30 +154,36 @@ def _unblocked(batches):
             )
 
 
-def _searched(candidates: pa.Table, queries: list[dict], k: int) -> pa.Table:
-    """The k best candidates of each query among the blocks of one table; a block is in memory at a time."""
-    kept = [tuple(np.zeros(0, np.int64) for _ in range(4)) for _ in queries]
-    asked = [(np.array(q["terms"], np.int64), np.array(q["weights"], np.int64)) for q in queries]
-    for batch in candidates.to_batches():
-        for row in range(batch.num_rows):
-            block = batch.column("block")[row].as_py()
-            postings = Postings(*unpacked(batch, row))
-            scores = np.zeros(len(postings.ids), np.int64)
-            for i, q in enumerate(queries):
-                scores[:] = 0
-                postings.accumulate(*asked[i], scores)
-                ids, at, got = postings.ids, np.arange(len(scores)), scores
-                if q["block"] == block:
-                    other = at != q["at"]
-                    ids, at, got = ids[other], at[other], scores[other]
-                here = best(got, ids, k)
-                merged = [np.concatenate(x) for x in zip(kept[i], (got[here], ids[here], np.full(len(here), block), at[here]), strict=True)]
-                order = np.lexsort((merged[3], merged[2], merged[1], -merged[0]))[:k]
-                kept[i] = tuple(x[order] for x in merged)
-    counts = [len(x[0]) for x in kept]
-    column = lambda name: np.repeat(np.array([q[name] for q in queries], np.int64), counts)
-    score, ids, block, at = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*kept, strict=True) if kept else [[]] * 4))
-    return pa.table({"query_id": column("id"), "query_block": column("block"), "query_at": column("at"), "vec_id": ids, "block": block, "at": at, "score": score})
+def _search(queries: dict[str, np.ndarray] | None, k: int):
+    """A task's search: the k best candidates of each query among the task's blocks; a block is in memory at a time."""
+
+    def run(batches):
+        n = 0 if queries is None else len(queries["id"])
+        kept = [tuple(np.zeros(0, np.int64) for _ in range(4)) for _ in range(n)]
+        for batch in batches:
+            for row in range(batch.num_rows if n else 0):
+                block = batch.column("block")[row].as_py()
+                postings = Postings(*unpacked(batch, row))
+                scores, every = np.zeros(len(postings.ids), np.int64), np.arange(len(postings.ids))
+                for i in range(n):
+                    own = slice(queries["starts"][i], queries["starts"][i + 1])
+                    scores[:] = 0
+                    postings.accumulate(queries["terms"][own], queries["weights"][own], scores)
+                    ids, at, got = postings.ids, every, scores
+                    if queries["block"][i] == block:
+                        other = at != queries["at"][i]
+                        ids, at, got = ids[other], at[other], scores[other]
+                    here = best(got, ids, k)
+                    merged = [np.concatenate(x) for x in zip(kept[i], (got[here], ids[here], np.full(len(here), block), at[here]), strict=True)]
+                    order = np.lexsort((merged[3], merged[2], merged[1], -merged[0]))[:k]
+                    kept[i] = tuple(x[order] for x in merged)
+        counts = [len(x[0]) for x in kept]
+        if sum(counts):
+            score, ids, block, at = (np.concatenate(x) for x in zip(*kept, strict=True))
+            of = [pa.array(np.repeat(queries[c], counts)) for c in ("id", "block", "at")]
+            yield pa.RecordBatch.from_arrays([*of, pa.array(ids), pa.array(block), pa.array(at), pa.array(score)], ["query_id", "query_block", "query_at", "vec_id", "block", "at", "score"])
+
+    return run
 
 
 def integer_vectors(frame: DataFrame, scale: float = 256.0) -> DataFrame:
