@@ -57,6 +57,24 @@ def bounded_broadcast(small: DataFrame, most_rows: int) -> DataFrame:
     return F.broadcast(small) if small.limit(most_rows + 1).count() <= most_rows else small
 
 
+#: Rows from which a key is hot, and the most hot keys that are broadcast.
+HOT_ROWS, MOST_HOT = 1024, 1 << 20
+
+
+def join_hot(rows: DataFrame, keyed: DataFrame, key: str, size: str) -> DataFrame:
+    """``rows`` joined with ``keyed``, which has one row a key and, as ``size``, the rows that have the key.
+
+    Hot keys are few, as each has many rows: they are broadcast after a look at their
+    number, so that no key lands in a task as a whole. ``size`` is dropped.
+    """
+    hot = keyed.filter(F.col(size) > HOT_ROWS)
+    n = hot.limit(MOST_HOT + 1).count()
+    if not 0 < n <= MOST_HOT:  # beyond the bound, the engine's own handling of skew
+        return rows.join(keyed.drop(size), key)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(keyed.filter(F.col(size) <= HOT_ROWS).drop(size), key)
+    return rows.join(F.broadcast(hot.drop(size)), key).unionByName(cold)
+
+
 def slices(texts: pa.Array, step: int = STEP_BYTES):
     """(begin, end) ranges of rows with about ``step`` bytes of text; a longer text stands alone."""
     n = len(texts)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import binary_array, binary_data, bounded_broadcast, fresh, ragged, slices, table, text_column, written
+from lexforge.llm.common import binary_array, binary_data, bounded_broadcast, fresh, join_hot, ragged, slices, table, text_column, written
 
 NGRAM, THRESHOLD = 5, 0.8
 #: Target recall of a pair just at the threshold, and the most hash functions spent on it.
@@ -153,12 +153,12 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     known = None
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.filter("a <> b").distinct()
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count_if(F.col("b") > F.col("a")).alias("n"))
+        large = join_hot(both.filter("b > a"), least, "a", "n").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = written(large.filter("a <> b").distinct(), name)
         # now a > b on every edge: the least neighbour takes the node and its other neighbours
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(low, "a").select(F.col("b").alias("x"), "m").unionByName(low.select(F.col("a").alias("x"), "m")).filter("x <> m")
+        low = large.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = join_hot(large, low, "a", "n").select(F.col("b").alias("x"), "m").unionByName(low.select(F.col("a").alias("x"), "m")).filter("x <> m")
         now = written(small.select(F.col("x").alias("a"), F.col("m").alias("b")).distinct(), name)
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == known:
@@ -260,9 +260,9 @@ def join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall:
     sig = written(signed(docs, n, bands, rows), "signatures")
     classes = sig.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands"))
     classes = written(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    members = classes.filter("n_grams > 0").select("cid", F.posexplode("bands").alias("band", "value"))
-    heads = members.groupBy("band", "value").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1").drop("size")
-    edges = members.join(heads, ["band", "value"]).filter("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b"))
+    members = classes.filter("n_grams > 0").select("cid", F.posexplode("bands").alias("band", "value")).select("cid", F.xxhash64("band", "value").alias("bucket"))
+    heads = written(members.groupBy("bucket").agg(F.min("cid").alias("head"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "band-heads")
+    edges = join_hot(members, heads, "bucket", "size").filter("cid <> head").select(F.col("cid").alias("a"), F.col("head").alias("b"))
     roots = components(edges, "candidates")
     dealt = blocks(roots.join(classes.select(F.col("cid").alias("node"), "key", "rep", "copies", "n_grams"), "node"))
 
@@ -294,8 +294,9 @@ def join(docs: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD, recall:
     )
     whole = written(whole, "near-classes")
     firsts = whole.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull(), F.col("rep"), F.col("key"))).alias("first"))
-    named = whole.join(firsts, "root").select("key", F.col("first.rep").alias("class_id"), (F.col("first.key") == F.col("key")).alias("kept"), (F.coalesce(F.col("links"), F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return sig.select("doc_id", "key").join(named, "key").select("doc_id", "class_id", "n_links", F.col("key").alias("text_key"), "kept")
+    named = whole.join(firsts, "root").select("key", F.col("first.rep").alias("class_id"), (F.col("first.key") == F.col("key")).alias("kept"), (F.coalesce(F.col("links"), F.lit(0)) + F.col("copies") - 1).alias("n_links"), "copies")
+    named = written(named, "named-classes")
+    return join_hot(sig.select("doc_id", "key"), named, "key", "copies").select("doc_id", "class_id", "n_links", F.col("key").alias("text_key"), "kept")
 
 
 def blocks(roots: DataFrame) -> DataFrame:

@@ -380,10 +380,12 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
 
     texts = written(of_docs.select(F.monotonically_increasing_id().alias("row"), "text", "label").mapInArrow(sketch, "row long, text string, label int, sketches array<long>"), "labelled-texts")
     values = texts.select("row", "label", F.posexplode("sketches").alias("place", "value"))
-    common = values.groupBy("place", "value").agg(F.count(F.lit(1)).alias("n"))
-    families = values.join(common, ["place", "value"]).groupBy("row", "label").agg(F.max(F.struct("n", "place", "value")).alias("best")).select("row", "label", F.xxhash64("best.place", "best.value").alias("family"))
+    # at most SKETCHES / 2 rows for each of ``most`` labelled rows are shared, and as many families: proven bounds for both broadcasts
+    common = values.groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    families = values.join(F.broadcast(common), ["place", "value"], "left").withColumn("n", F.coalesce("n", F.lit(1))).groupBy("row", "label").agg(F.max(F.struct("n", "place", "value")).alias("best")).select("row", "label", F.xxhash64("best.place", "best.value").alias("family"))
     # as many rows as labelled documents: one for each id and label, unless ids repeat
-    families = written(families.join(families.groupBy("family", "label").agg(F.count(F.lit(1)).alias("texts")), ["family", "label"]), "families")
+    families = written(families, "families")
+    families = families.join(F.broadcast(families.groupBy("family", "label").agg(F.count(F.lit(1)).alias("texts"))), ["family", "label"])
     of = families.select("row", (2 * F.pmod("family", F.lit(FOLDS)) + F.col("label")).cast("int").alias("kind"), F.expr(f"{UNIT} div texts").alias("units"))
     return texts.select("row", "text").join(bounded_broadcast(of, 2 * most), "row").select("text", "kind", "units")
 

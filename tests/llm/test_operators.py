@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from lexforge.llm import bpe, jaccard, quality, repair, secrets, sharding, topk
+from lexforge.llm import bpe, common, jaccard, quality, repair, secrets, sharding, topk
 from tests.llm.conftest import SCHEMA, TEXTS
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -398,6 +398,7 @@ def slow_links(rows):
 @pytest.mark.parametrize("block", [256, 4])
 def test_jaccard_join(spark, docs, block, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(common, "HOT_ROWS", block)  # 4: nearly every key with links is hot
     rng = np.random.default_rng(4)
     rows = [(r.doc_id, r.text, "en", "s", 1) for r in docs.collect()]
     for group in range(6):
