@@ -40,7 +40,7 @@ NGRAM, THRESHOLD = 5, 0.8
 #: Target recall of a pair just at the threshold, and the most hash functions spent on it.
 RECALL, MOST_FUNCTIONS = 0.999, 216
 #: Members and n-grams of a block of a large component.
-BLOCK, BLOCK_NGRAMS = 1024, 4 << 20
+BLOCK, BLOCK_NGRAMS = 512, 4 << 20
 #: Rows of 48 bytes that a broadcast of dropped documents may have.
 MOST_BROADCAST = 1 << 20
 

@@ -1,9 +1,9 @@
 """Exact top-k search: exhaustive term-at-a-time accumulation.
 
 Vectors are sparse rows of integer weights (a term is a dimension). They are packed
-into blocks; a block of candidates is turned into postings, term by term. For every
-query of a query block, each of its terms scatters weight times posting into the
-query's row of a dense score array over the block. A partition selection keeps the
+into blocks; a block of candidates is turned into postings, term by term. For a few
+queries at a time, each of their terms scatters weight times posting into the
+queries' rows of a dense score array over the block. A partition selection keeps the
 block's k best, and the k best of all blocks seen so far are merged as they come, so
 a task returns k rows a query. Scores are 64-bit integers, so sums are exact.
 
@@ -31,6 +31,8 @@ from lexforge.llm.common import binary_array, binary_data, ragged, table, writte
 BLOCK_ROWS = 2048
 #: Terms and weights of the queries that are sent out together.
 BATCH_BYTES = 32 << 20
+#: Queries whose scores over a block are in memory together.
+TOGETHER = 32
 
 BLOCKS = "block long, ids binary, lengths binary, terms binary, weights binary"
 FOUND = "query_id long, query_block long, query_at long, vec_id long, block long, at long, score long"
@@ -82,15 +84,19 @@ class Postings:
         # a term that every vector holds needs no row numbers: its postings are the whole column
         self.lists = {int(t): (None if e - s == len(ids) else rows[s:e], w[s:e]) for t, s, e in zip(names, starts, ends, strict=True)}
 
-    def accumulate(self, terms: np.ndarray, weights: np.ndarray, scores: np.ndarray) -> None:
-        """Adds each term's products to the query's dense scores."""
-        for term, weight in zip(terms.tolist(), weights.tolist(), strict=True):
+    def accumulate(self, at: np.ndarray, terms: np.ndarray, weights: np.ndarray, scores: np.ndarray) -> None:
+        """Adds products, term by term, to the dense scores of a few queries: query ``at[i]`` has ``terms[i]`` with ``weights[i]``."""
+        order = np.argsort(terms, kind="stable")
+        names, starts = np.unique(terms[order], return_index=True)
+        for term, mine in zip(names.tolist(), np.split(order, starts[1:]), strict=True):
             if (got := self.lists.get(term)) is not None:
                 rows, w = got
-                if rows is None:
-                    scores += weight * w
+                if rows is None and len(mine) == len(scores):
+                    scores += weights[mine, None] * w  # a query has a term once, and ``mine`` is in the queries' order
+                elif rows is None:
+                    scores[at[mine]] += weights[mine, None] * w
                 else:
-                    scores[rows] += weight * w
+                    scores[at[mine][:, None], rows] += weights[mine, None] * w
 
 
 def best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -164,19 +170,22 @@ def _search(queries: dict[str, np.ndarray] | None, k: int):
             for row in range(batch.num_rows if n else 0):
                 block = batch.column("block")[row].as_py()
                 postings = Postings(*unpacked(batch, row))
-                scores, every = np.zeros(len(postings.ids), np.int64), np.arange(len(postings.ids))
-                for i in range(n):
-                    own = slice(queries["starts"][i], queries["starts"][i + 1])
-                    scores[:] = 0
-                    postings.accumulate(queries["terms"][own], queries["weights"][own], scores)
-                    ids, at, got = postings.ids, every, scores
-                    if queries["block"][i] == block:
-                        other = at != queries["at"][i]
-                        ids, at, got = ids[other], at[other], scores[other]
-                    here = best(got, ids, k)
-                    merged = [np.concatenate(x) for x in zip(kept[i], (got[here], ids[here], np.full(len(here), block), at[here]), strict=True)]
-                    order = np.lexsort((merged[3], merged[2], merged[1], -merged[0]))[:k]
-                    kept[i] = tuple(x[order] for x in merged)
+                every = np.arange(len(postings.ids))
+                for i in range(0, n, TOGETHER):
+                    j = min(i + TOGETHER, n)
+                    own = slice(queries["starts"][i], queries["starts"][j])
+                    scores = np.zeros((j - i, len(every)), np.int64)
+                    of = np.repeat(np.arange(j - i), np.diff(queries["starts"][i : j + 1]))
+                    postings.accumulate(of, queries["terms"][own], queries["weights"][own], scores)
+                    for q in range(i, j):
+                        ids, at, got = postings.ids, every, scores[q - i]
+                        if queries["block"][q] == block:
+                            other = at != queries["at"][q]
+                            ids, at, got = ids[other], at[other], got[other]
+                        here = best(got, ids, k)
+                        merged = [np.concatenate(x) for x in zip(kept[q], (got[here], ids[here], np.full(len(here), block), at[here]), strict=True)]
+                        order = np.lexsort((merged[3], merged[2], merged[1], -merged[0]))[:k]
+                        kept[q] = tuple(x[order] for x in merged)
         counts = [len(x[0]) for x in kept]
         if sum(counts):
             score, ids, block, at = (np.concatenate(x) for x in zip(*kept, strict=True))
