@@ -56,9 +56,24 @@ def batched(spans: DataFrame, batch: int = BATCH) -> DataFrame:
     return rows.withColumn("output_budget", F.least(F.lit(MOST_OUTPUT), n * PER_SPAN + OVERHEAD))
 
 
+def halved(rows: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
+    """Batches whose prompt is estimated over MOST_INPUT tokens as two, the first of the larger half."""
+    batch = Window.partitionBy("file_id", "batch_id")
+    head = docs.select(F.col("file_id").alias("_of"), F.substring(text, 1, DOCUMENT_CHARS).alias("_head"))
+    rows = rows.join(head, F.col("file_id") == F.col("_of"), "left")
+    chars = F.sum(F.length("text") + 2 * CONTEXT).over(batch)
+    n, place = F.count(F.lit(1)).over(batch), F.col("span_index") - F.min("span_index").over(batch)
+    second = (estimated_tokens(F.coalesce("_head", F.lit("")), chars) > MOST_INPUT) & (place >= F.ceil(n / 2))
+    rows = rows.withColumn("_second", second.cast("int")).withColumn("batch_id", (2 * F.col("batch_id") + F.col("_second")).cast("int")).drop("_of", "_head", "_second")
+    return rows.withColumn("output_budget", F.least(F.lit(MOST_OUTPUT), F.count(F.lit(1)).over(batch) * PER_SPAN + OVERHEAD))
+
+
 def prompts(spans: DataFrame, docs: DataFrame, text: str = "text") -> DataFrame:
-    """file_id, batch_id, output_budget, payload: each batch's spans with their surroundings as JSON, and the document's head."""
-    rows = batched(spans).join(docs.select("file_id", F.col(text).alias("_t")), "file_id")
+    """file_id, batch_id, output_budget, payload: each batch's spans with their surroundings as JSON, and the document's head.
+
+    Spans that have a batch_id keep it.
+    """
+    rows = (spans if "batch_id" in spans.columns else batched(spans)).join(docs.select("file_id", F.col(text).alias("_t")), "file_id")
     around = F.substring(F.col("_t"), F.greatest(F.col("start") - CONTEXT, F.lit(0)) + 1, F.col("end") - F.greatest(F.col("start") - CONTEXT, F.lit(0)) + CONTEXT)
     item = F.struct((F.col("span_index") - F.min("span_index").over(Window.partitionBy("file_id", "batch_id"))).alias("span_index"), F.col("text"), F.col("start"), F.col("end"), around.alias("context"))
     rows = rows.withColumn("_item", item)
@@ -72,7 +87,7 @@ def decided(spans: DataFrame, replies: DataFrame) -> DataFrame:
     later of two counts. Spans without one are persons at the default confidence. A
     drop of a sure span doesn't hold, unless the reply had to be mended.
     """
-    rows = batched(spans)
+    rows = spans if "batch_id" in spans.columns else batched(spans)
     within = (F.col("span_index") - F.min("span_index").over(Window.partitionBy("file_id", "batch_id"))).cast("int")
     got = replies.select("file_id", "batch_id", verdicts(F.col("reply")).alias("v")).select("file_id", "batch_id", "v.repaired", F.posexplode("v.items").alias("place", "item"))
     last = F.row_number().over(Window.partitionBy("file_id", "batch_id", "within").orderBy(F.desc("place")))

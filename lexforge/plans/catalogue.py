@@ -8,7 +8,7 @@ from lexforge.functions import text as X
 from lexforge.functions.vocab import (
     COMMON_WORDS, EMAIL_TOKENS, GUARDED_TOKENS, HONORIFICS, NOT_NAMES, OCCUPATION_SYNONYMS, ROLE_PRIORITY, STOPWORDS, SUFFIX_TOKENS, WS, WS_CHARS, clean_map, punct_class,
 )
-from lexforge.operators import classify, search, spans, summaries, validation, work
+from lexforge.operators import classify, models, search, spans, summaries, validation, work
 from lexforge.operators import names as names_op
 from lexforge.plans import pipeline
 from lexforge.sources import files
@@ -556,6 +556,56 @@ def phonetic(spark, sf_dir):
     return search.phonetic(name_cases(spark, sf_dir).select(F.col("original_text").alias("name")), "Maria Ven")
 
 
+# the model tier, with a backend that answers by rules
+
+
+def _name_docs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Invented names as spans one after another, and the texts they stand in."""
+    t = name_cases(spark, sf_dir).select(F.col("name_index").alias("file_id"), F.col("original_text").alias("text"))
+    found = t.select("file_id", F.lit(0).alias("start"), F.length("text").alias("end"), "text", F.lit("PER").alias("entity_type"), F.lit(0.6).alias("confidence"))
+    return found, t
+
+
+@query("q46_model_classified", f"WITH {NAME_CASES}, {_CLASSES} SELECT name_index AS file_id, NOT (org OR place) AS is_person, CASE WHEN org THEN 'organization' WHEN place THEN 'location' END AS drop_reason FROM kinds")
+def model_classified(spark, sf_dir):
+    return models.classified(*_name_docs(spark, sf_dir), "rules").select("file_id", "is_person", "drop_reason")
+
+
+@query(
+    "q47_model_repaired",
+    f"WITH {NAME_CASES}, {_NORMAL}, nr AS (SELECT *, regexp_matches(original_text, '[015/{{}}\\x{{2DC}}|\\\\@#$%^&*=+\\[\\]<>]') OR regexp_matches(original_text, '\\p{{L}}\\p{{Nd}}\\p{{L}}') AS needs FROM sw) SELECT name_index AS file_id, needs AS was_repaired, CASE WHEN needs THEN {_SQUEEZE("translate(original_text, '015|', 'OISl')")} WHEN length(w) > 3 AND {_UPPER('w')} THEN {_TITLE('w')} ELSE w END AS normalized_name FROM nr",
+)
+def model_repaired(spark, sf_dir):
+    found, _ = _name_docs(spark, sf_dir)
+    valid = found.withColumns({"error": F.lit(None).cast("string"), "verified_text": F.col("text"), "needs_repair": names.needs_repair(F.col("text"))})
+    return models.repaired(valid, "rules").select("file_id", "was_repaired", "normalized_name")
+
+
+@query(
+    "q48_model_yes_no",
+    f"WITH {NAME_CASES}, y AS (SELECT name_index, {sql_tokens('original_text')} AS w FROM name_cases) SELECT name_index, len(w) >= 2 AND len(list_filter(w, lambda x: regexp_matches(x, '^\\p{{Lu}}'))) = len(w) AS is_valid, 0.75 AS confidence FROM y",
+)
+def model_yes_no(spark, sf_dir):
+    t = name_cases(spark, sf_dir).select("name_index", F.col("original_text").alias("name"))
+    return models.validated_names(t, "rules", heuristics=False).select("name_index", "is_valid", "confidence")
+
+
+@query("q49_model_entities")
+def model_entities(spark, sf_dir):
+    return models.entities(documents(spark, sf_dir), "mock").select("file_id", "start", "end", "text")
+
+
+@query("q50_model_recovered")
+def model_recovered(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("file_id", F.col("text").alias("raw_text"), F.col("text").alias("clean_text"))
+    return models.recovered(docs, "rules").select("file_id", "start", "end", "text", "role", "confidence")
+
+
+@query("q51_aggressive_clean", f"SELECT doc_id, md5(regexp_replace(translate({_BETWEEN}, {q(''.join(_SRC))}, {q(''.join(_DST))}), '[' || '{_JUNK}' || ']', ' ', 'g')) AS clean_md5 FROM documents")
+def aggressive_clean(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(cleaning.same_length(F.col("text"), True)).alias("clean_md5"))
+
+
 # whole plans
 
 _ORGS = " OR ".join(f"contains(lower(text), '{x}')" for x in classify.ORGANISATIONS + classify.LOCATIONS)
