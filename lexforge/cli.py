@@ -3,6 +3,7 @@
 import argparse
 import json
 import sys
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,13 +25,15 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument(f"--{flag.replace('_', '-')}", **options)
 
     command("discover", "supported files below a folder", "folder", out={})
+    command("extract-text", "texts of the supported files below a folder", "folder", "out", json={"action": "store_true"})
     command("ner", "tier one: spans and a manifest", "documents", "out", least_confidence={"type": float, "default": 0.3})
     command("names", "tier two: names of documents, from tier one's spans where given", "documents", "out", spans={}, no_recovery={"action": "store_true"})
     command("clean-names", "clean names; without --apply only statistics", "names", out={}, apply={"action": "store_true"})
     command("pending", "stems without an output, and a worker's share", "inputs", "outputs", workers={"type": int, "default": 1}, worker={"type": int, "default": 0})
     command("manifest-query", "files by spans", "manifest", min={"type": int, "default": 0}, max={"type": int}, limit={"type": int}, sort={"choices": ["person_spans", "clean_text_length"], "default": "person_spans"})
     command("validate", "stored names against their sources; status 1 where some don't hold", "names", "documents", fix={}, verbose={"action": "store_true"})
-    command("validate-summaries", "empty and corrupted summary files", "folder")
+    command("validate-summaries", "empty and corrupted summary files", "folder", delete={"action": "store_true"})
+    command("summarise", "map and reduce of documents (file_id, page_number, text) by a backend", "pages", "out", backend={"default": "mock"}, model={"default": "mock"}, prompts={"default": "1"})
     command("to-summarise", "documents without a valid summary", "documents", "cache", model={"required": True}, prompts={"required": True}, resume_from={}, limit={"type": int})
     return top
 
@@ -51,7 +54,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         docs = read(a.documents)
         found = pipeline.tier_one(docs, options=pipeline.Options(least_confidence=a.least_confidence))
         files.write(found, f"{a.out}/spans")
-        files.append_manifest(pipeline.manifest(docs, read(f"{a.out}/spans")), f"{a.out}/manifest")
+        files.append_manifest(pipeline.manifest(docs, read(f"{a.out}/spans"), time.time_ns()), f"{a.out}/manifest")
     elif a.command == "names":
         docs, options = read(a.documents), pipeline.Options(recovery=not a.no_recovery)
         found = read(a.spans) if a.spans else pipeline.tier_one(docs, options=options)
@@ -77,7 +80,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             files.write(validation.fixed(checked), a.fix)
         return int(report.invalid_names > 0)
     elif a.command == "validate-summaries":
-        show(files.broken_summaries(spark, a.folder))
+        broken = files.broken_summaries(spark, a.folder)
+        if a.delete:
+            print(json.dumps({"deleted": files.delete(spark, [r.path for r in broken.select("path").toLocalIterator()])}))
+        else:
+            show(broken)
+    elif a.command == "extract-text":
+        (files.write_json if a.json else files.write)(files.extracted(spark, a.folder), a.out)
+    elif a.command == "summarise":
+        files.write(summaries.documents_summarised(read(a.pages), a.backend, a.model, a.prompts), a.out)
     elif a.command == "to-summarise":
         show(summaries.selected(read(a.documents), read(a.cache), a.model, a.prompts, resume_from=a.resume_from, limit=a.limit).select("file_id", "text_hash"))
     return 0

@@ -152,6 +152,35 @@ def reduced(mapped_pages: DataFrame, summarise, limit: int = CONTEXT_TOKENS - OU
         now = written(fits.unionByName(got.select("file_id", label.alias("page"), F.col("_g").alias("page_number"), summarise(lines).alias("summary"))), "reduce")
 
 
+SHORT_PROMPT = "Summarise this document in two sentences, by these notes of its pages.\n\n"
+LONG_PROMPT = "Summarise this document at length, by these notes of its pages.\n\n"
+
+
+def documents_summarised(pages: DataFrame, backend: str, model: str, prompt_version: str) -> DataFrame:
+    """file_id, short_summary, long_summary, pages, text_hash, model_version, prompt_version of documents (file_id, page_number, text).
+
+    Documents of less than MIN_DOCUMENT_CHARS are left out. Pages are summarised one by
+    one; a document of one page goes by its text, others by their pages' notes, which
+    are put together (and cut to the context) until they fit a prompt. The short and
+    the long prompt of a document are asked in one batch. Replies are written when this is called.
+    """
+    whole = pages.groupBy("file_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_number", "text"))), lambda p: F.coalesce(p["text"], F.lit(""))), "\n").alias("document"), F.count(F.lit(1)).alias("pages"))
+    whole = whole.filter(F.length(X.strip(F.col("document"))) >= MIN_DOCUMENT_CHARS)
+    rows = pages.withColumn("text_source", F.lit(None).cast("string")).join(whole.select("file_id", "pages"), "file_id")
+    prompt = F.when(~skippable(F.col("text"), F.col("text_source")), page_prompt(F.col("page_number"), F.col("pages").cast("int"), F.col("text")))
+    several = rows.filter("pages > 1")
+    got = replied(several.select("file_id", "page_number", prompt.alias("prompt")).filter("prompt IS NOT NULL"), backend)
+    notes = written(mapped(several.drop("pages"), got.select("file_id", "page_number", "reply")), "page-notes")
+    most = (CONTEXT_TOKENS - OUTPUT_MARGIN) * 3
+    reduced_notes = page_lines(reduced(notes, lambda lines: F.substring(lines, 1, PAGE_CHARS)))
+    lines = reduced_notes.unionByName(whole.filter("pages <= 1").select("file_id", F.substring("document", 1, most).alias("lines")))
+    kinds = F.explode(F.array(F.struct(F.lit("short").alias("kind"), F.lit(SHORT_PROMPT).alias("head")), F.struct(F.lit("long").alias("kind"), F.lit(LONG_PROMPT).alias("head"))))
+    prompts = lines.select("file_id", "lines", kinds.alias("k")).select("file_id", "k.kind", F.concat("k.head", "lines").alias("prompt"))
+    told = replied(prompts, backend).select("file_id", "kind", replies.summary(F.col("reply"))["summary"].alias("summary"))
+    both = told.groupBy("file_id").agg(F.max(F.when(F.col("kind") == "short", F.col("summary"))).alias("short_summary"), F.max(F.when(F.col("kind") == "long", F.col("summary"))).alias("long_summary"))
+    return whole.join(both, "file_id").select("file_id", "short_summary", "long_summary", "pages", text_hash(F.col("document")).alias("text_hash"), F.lit(model).alias("model_version"), F.lit(prompt_version).alias("prompt_version"))
+
+
 def merged_direct(mentions: DataFrame) -> DataFrame:
     """Mentions of two replies (file_id, source, place, occupation, person_name, evidence_span), the first of equal ones."""
     w = Window.partitionBy("file_id", "occupation", "person_name", "evidence_span").orderBy("source", "place")

@@ -58,10 +58,10 @@ def latest(manifest: DataFrame, key: str = "stem", seq: str = "seq") -> DataFram
     return manifest.filter(F.col(key).isNotNull()).groupBy(key).agg(top.alias("v"), F.max(seq).alias(seq)).select(key, seq, *(F.col("v")[c].alias(c) for c in rest))
 
 
-def manifest_of(ner: DataFrame) -> DataFrame:
-    """Manifest lines of NER outputs, with defaults for what is missing."""
+def manifest_of(ner: DataFrame, seq: int | None = None) -> DataFrame:
+    """Manifest lines of NER outputs, with defaults for what is missing. seq: the run's place among all runs, by which the last line of a stem counts."""
     zero = lambda c, kind="int": F.coalesce(F.col(c).cast(kind), F.lit(0).cast(kind)).alias(c)
-    return ner.select(F.col("file_id").alias("stem"), zero("person_spans"), zero("total_spans"), zero("clean_text_length"), F.round(F.coalesce(F.col("noise_score").cast("double"), F.lit(0.0)), 4).alias("noise_score"))
+    return ner.select(F.col("file_id").alias("stem"), zero("person_spans"), zero("total_spans"), zero("clean_text_length"), F.round(F.coalesce(F.col("noise_score").cast("double"), F.lit(0.0)), 4).alias("noise_score"), *([] if seq is None else [F.lit(seq).cast("long").alias("seq")]))
 
 
 def top(manifest: DataFrame, least: int = 0, most: int | None = None, by: str = "person_spans", limit: int | None = None) -> DataFrame:

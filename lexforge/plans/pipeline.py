@@ -38,11 +38,11 @@ def tier_one(docs: DataFrame, entities=spans.mock_entities, options: Options = O
     return found
 
 
-def manifest(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The manifest's lines of a tier-one run."""
+def manifest(docs: DataFrame, found: DataFrame, seq: int | None = None) -> DataFrame:
+    """The manifest's lines of a tier-one run; seq: its place among all runs."""
     ready = prepared(docs).select("file_id", F.length("clean_text").alias("clean_text_length"), "noise_score")
     n = found.groupBy("file_id").agg(F.count(F.lit(1)).alias("total_spans"), F.count_if(F.col("entity_type") == "PER").alias("person_spans"))
-    return work.manifest_of(ready.join(n, "file_id", "left"))
+    return work.manifest_of(ready.join(n, "file_id", "left"), seq)
 
 
 def tier_two(docs: DataFrame, found: DataFrame, classified=classify.mock_classified, options: Options = Options(), ready: DataFrame | None = None) -> DataFrame:

@@ -130,6 +130,50 @@ def recognised(images: DataFrame, make=None) -> DataFrame:
     return images.mapInPandas(run, schema)
 
 
+def transcribed(media: DataFrame, make) -> DataFrame:
+    """Adds text, language, duration and segments (start, end, text) to (…, content) by a transcriber that a worker holds.
+
+    make: gives an object whose read(bytes) returns these as a dict; there is none here.
+    """
+    segments = T.ArrayType(T.StructType([T.StructField("start", T.DoubleType()), T.StructField("end", T.DoubleType()), T.StructField("text", T.StringType())]))
+    more = [T.StructField("text", T.StringType()), T.StructField("language", T.StringType()), T.StructField("duration", T.DoubleType()), T.StructField("segments", segments)]
+    schema = T.StructType([*[f for f in media.schema.fields if f.name != "content"], *more])
+
+    def run(frames):
+        reader = make()
+        for frame in frames:
+            got = [reader.read(bytes(b)) for b in frame.content]
+            yield frame.drop(columns="content").assign(**{f.name: [g.get(f.name) for g in got] for f in more})
+
+    return media.mapInPandas(run, schema)
+
+
+def extracted(spark: SparkSession, folder: str, recogniser=None, transcriber=None) -> DataFrame:
+    """path, kind, text, extraction_method of the supported files below a folder, every kind by its own reader.
+
+    PDF pages without words, and images, go to the recogniser; media files to the
+    transcriber, and are left out where there is none.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "content", kind_of(F.col("path")).alias("kind"))
+    of = lambda kind: files.filter(F.col("kind") == kind).select("path", "content")
+    done = lambda rows, kind, method: rows.select("path", F.lit(kind).alias("kind"), "text", F.lit(method).alias("extraction_method"))
+    plain = F.coalesce(F.try_validate_utf8(F.col("content")), _decoded(F.col("content")))
+    parts = [
+        done(of("txt").select("path", plain.alias("text")), "txt", "text"),
+        done(of("docx").select("path", F.array_join(docx_paragraphs("content"), "\n\n").alias("text")), "docx", "docx_text"),
+        done(recognised(of("image"), recogniser), "image", "ocr"),
+    ]
+    if of("pdf").limit(1).count():
+        pages = pdf_pages(of("pdf")).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("page_number", "text"))).alias("pages"))
+        parts.append(done(pages.select("path", F.array_join(F.transform("pages", lambda p: p["text"]), "\n\n").alias("text")), "pdf", "pdf_text"))
+    if transcriber is not None:
+        parts += [done(transcribed(of(kind), transcriber), kind, "transcription") for kind in ("audio", "video")]
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
 def page_range(pages: DataFrame, first: int, last: int) -> DataFrame:
     return pages.filter(F.col("page_number").between(first, last))
 
@@ -192,10 +236,10 @@ def broken_summaries(spark: SparkSession, folder: str, suffix: str = "_summary.j
 
 
 def source_texts(files: DataFrame, *candidates: DataFrame) -> DataFrame:
-    """file_id, text of each file by the first of the candidates (file_id, text) that has one."""
+    """file_id, text of each file by the first of the candidates (file_id, text) that has one; of several texts of a candidate the least."""
     out = files.select("file_id")
     for i, c in enumerate(candidates):
-        out = out.join(c.select("file_id", F.col("text").alias(f"_t{i}")).dropDuplicates(["file_id"]), "file_id", "left")
+        out = out.join(c.groupBy("file_id").agg(F.min(F.nullif("text", F.lit(""))).alias(f"_t{i}")), "file_id", "left")
     return out.select("file_id", F.coalesce(*(F.nullif(f"_t{i}", F.lit("")) for i in range(len(candidates)))).alias("text"))
 
 
@@ -205,5 +249,25 @@ def write(df: DataFrame, path: str, *parts: str) -> None:
     (w.partitionBy(*parts) if parts else w).parquet(path)
 
 
+def write_json(df: DataFrame, path: str) -> None:
+    """JSON lines, a row each, put in place by the committer: all or nothing."""
+    df.write.mode("overwrite").json(path)
+
+
+def delete(spark: SparkSession, paths: list[str]) -> int:
+    """Deletes files; how many were there."""
+    n = 0
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        n += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, False))
+    return n
+
+
+def manifest_counts(rows: DataFrame) -> DataFrame:
+    """One row for artefacts as ``json_documents`` reads them: whole ones, and those that are broken."""
+    broken = F.col("_corrupt_record").isNotNull()
+    return rows.agg(F.count_if(~broken).alias("whole"), F.count_if(broken).alias("corrupt"))
+
+
 def append_manifest(lines: DataFrame, path: str) -> None:
     lines.write.mode("append").parquet(path)

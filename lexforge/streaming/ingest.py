@@ -13,18 +13,21 @@ def arriving(spark: SparkSession, folder: str, schema, files_a_batch: int = 1000
 
 
 def processed(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], output: str, checkpoint: str, key: str = "file_id") -> StreamingQuery:
-    """Runs ``transform`` over each batch's files that the output hasn't, and appends the result; ends when none is left."""
+    """Runs ``transform`` over each batch's keys that no earlier batch had, and appends the result; ends when none is left.
 
-    def batch(rows: DataFrame, _: int) -> None:
+    A batch's part lies in a folder of its own (``batch=n``) that a repeated batch puts
+    in place anew, so a batch that failed half-way leaves nothing twice. Of repeated
+    keys in a batch one row stays. Only the key column of earlier parts is read.
+    """
+
+    def batch(rows: DataFrame, n: int) -> None:
         spark = rows.sparkSession
-        new = rows
-        try:
-            done = spark.read.parquet(output).select(key)
-            new = rows.join(done, key, "left_anti")
-        except Exception as missing:
-            if "PATH_NOT_FOUND" not in str(missing) and "UNABLE_TO_INFER_SCHEMA" not in str(missing):
-                raise
-        transform(new).write.mode("append").parquet(output)
+        new = rows.dropDuplicates([key])
+        path = spark._jvm.org.apache.hadoop.fs.Path(output)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            done = spark.read.schema(f"{key} {dict(rows.dtypes)[key]}, batch long").parquet(output).filter(F.col("batch") != n)
+            new = new.join(done.select(key), key, "left_anti")
+        transform(new).write.mode("overwrite").parquet(f"{output}/batch={n}")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
