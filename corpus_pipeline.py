@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and works on all that its predecessor kept:
 rejected by quality rules or toxicity, one document of each near-duplicate class,
 secrets masked in the text, and at last the pieces of packed sequences.
+
+Defined cases: null texts fail the quality rules, so none comes further; null and
+repeated ids are rows like others, until one row of each class of near-duplicates
+stays; texts of any length are read whole; columns of any name go through all stages
+but the last; an empty table gives no piece. A stage runs when it is called, and what
+it needs of the corpus (counts, labels, links) is of the rows that it gets.
 """
 
 import uuid

@@ -13,8 +13,9 @@ lower case, pieces by class of character), and only the different words of a bat
 are encoded; a worker keeps those it has met in a bounded cache.
 
 Defined cases: a null text counts as empty: no ids, and the empty decoded text; null
-and repeated ids are rows like others; an empty table gives no row; other columns
-are ignored.
+and repeated ids are rows like others; of equal pairs in a word the left one is merged
+first, as the library does; words and texts of any length are encoded whole; an empty
+table gives no row; other columns are ignored.
 """
 
 import hashlib

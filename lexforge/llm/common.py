@@ -17,9 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of our own only where that is unset (tests)."""
+    """The folder named by spark.checkpoint.dir; one of our own only where that is unset and all runs on one machine (tests)."""
     told = spark.conf.get("spark.checkpoint.dir", None)
     if not told:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         told = f"/tmp/lexforge-{os.getuid()}-{spark.sparkContext.applicationId}"
     return told.rstrip("/")
 

@@ -21,8 +21,11 @@ Scoring carries the state through whole documents, so a score is the log-likelih
 of the complete text, its end included.
 
 Defined cases: a null or empty text is its end alone; null ids train (they have no
-remainder); repeated rows are rows like others; an empty table gives no row; without
-training documents, every word is rare and unseen. Other columns are ignored.
+remainder); repeated rows are rows like others; of equally frequent words the first in
+order is a token; a text of any length is one document, in a block of its own if it is
+longer than one, and its state is carried through all of it; an empty table gives no
+row; without training documents, every word is rare and unseen. Other columns are
+ignored. Counting and training run when ``scored`` is called.
 """
 
 import heapq

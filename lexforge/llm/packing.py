@@ -8,8 +8,9 @@ only windows that cross the border of two partitions need a record from each, an
 only those are brought together by ``sequences``.
 
 Defined cases: a null text counts as empty (its document is its end id alone); null
-or repeated doc_ids are rows like others; an empty table gives no piece; columns
-other than the two that are named are ignored. Only the last sequence of all is
+or repeated doc_ids are rows like others, and equal texts lie where their rows do; a
+text of any length is encoded whole and cut into as many windows as it takes; an empty
+table gives no piece; columns other than the two that are named are ignored. Only the last sequence of all is
 shorter than ``window``.
 """
 

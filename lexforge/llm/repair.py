@@ -12,8 +12,9 @@ the documents' ids, numbers of ids and slices. ``ids_between`` decodes any range
 document without the rest: prefix sums of expanded lengths find the symbols.
 
 Defined cases: a null text counts as empty (its document is its end id alone); null
-doc_ids come first, repeated ones next to each other, by the hash of their texts; an
-empty table gives no row; other columns are ignored.
+doc_ids come first, repeated ones next to each other, by the hash of their texts; of
+overlapping equal pairs every other one is replaced, from the left; a text of any length
+is whole in one shard; an empty table gives no row; other columns are ignored.
 """
 
 import uuid

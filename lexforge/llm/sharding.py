@@ -10,8 +10,9 @@ Slots (gapless from 0 in every shard) come from two levels: rows are numbered wi
 part is as large as a scan task, whatever keys repeat in it.
 
 Defined cases: a null key is a key of its own; a null text has no bytes and the crc
-of the empty text; repeated rows each have a slot; an empty table gives no row;
-other columns are ignored.
+of the empty text; repeated rows each have a slot; equal bids go to the earlier shard;
+a text of any length is one row, read whole for its size and crc; an empty table gives
+no row; other columns are ignored. Counts of slots are written when the function is called.
 """
 
 from pyspark.sql import Column, DataFrame, Window

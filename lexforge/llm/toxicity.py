@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import bounded_broadcast, fresh, ragged, slices, table, text_column, written
+from lexforge.llm.common import bounded_broadcast, ragged, slices, table, text_column, written
 from lexforge.llm.jaccard import n_grams, signatures
 
 # The lexicon, by sign. I insult, H harm, W intent, T target, N negation, R reported speech.
@@ -455,14 +455,16 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most: int
 
 def filtered(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, most: int = MOST_LABELLED) -> DataFrame:
     """The documents that aren't predicted toxic, row by row, with the columns of ``docs``. Learning runs when this is called."""
-    model, score, names = learned(docs, labels, most), fresh(docs, "score"), docs.columns
+    model, text = learned(docs, labels, most), f"c{docs.columns.index('text')}"
+    # columns by place: a name with a dot in it can't go into mapInArrow
+    rows = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
 
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(text_column(batch)))], [*names, score])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.scores(text_column(batch, text)))], [*batch.schema.names, "score"])
 
-    marked = docs.mapInArrow(run, docs.withColumn(score, F.lit(0.0)).schema)
-    return marked.filter(F.col(score) < threshold).drop(score)
+    marked = rows.mapInArrow(run, rows.withColumn("score", F.lit(0.0)).schema)
+    return marked.filter(F.col("score") < threshold).drop("score").toDF(*docs.columns)
 
 
 def op9_query(spark, sf_dir: str) -> DataFrame:

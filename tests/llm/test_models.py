@@ -208,3 +208,18 @@ def test_pipeline_masks_both_halves_of_a_credential(spark, tmp_path):
     text = " ".join(f"k{k}" for k in range(40)) + "\nAWS_ACCESS_KEY_ID=AKIAABCDEFGHIJKL\nAWS_SECRET_ACCESS_KEY=aB3" + "x" * 37
     out = corpus_pipeline.secrets_stage(spark, spark.createDataFrame([(903, text, "en", "s", 1)], SCHEMA), str(tmp_path)).first().text
     assert out.endswith("\nAWS_[SECRET]\nAWS_SECRET_ACCESS_KEY=[SECRET]")
+
+
+def test_pipeline_of_odd_tables(spark, labelled, docs, empty, tmp_path):
+    """Empty, null and repeated rows, and columns with names that stages use themselves."""
+    _, labels = labelled
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    for k, frame in enumerate((empty, docs, docs.withColumn("score", F.lit("x")).withColumn("kept", F.lit("x")).withColumn("verdict_of", F.lit(1)).withColumn("a.b", F.lit(2)))):
+        now = frame
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, now, str(tmp_path))
+            assert out.columns == frame.columns, name
+            out.write.parquet(str(tmp_path / f"{k}-{name}"))
+            now = spark.read.parquet(str(tmp_path / f"{k}-{name}"))
+        last = corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path))
+        assert (last.count() == 0) == (now.count() == 0)
