@@ -118,8 +118,17 @@ def binary_data(array: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Indices start, start + 1, ... of every range, one range after another."""
+    """Indices start, start + 1, ... of every range, one range after another, in 32 bits where they fit."""
+    starts, lengths = np.asarray(starts, np.int64), np.asarray(lengths, np.int64)
+    if len(lengths) and lengths.min() == 0:
+        some = lengths > 0
+        starts, lengths = starts[some], lengths[some]
+    if not len(lengths):
+        return np.zeros(0, np.int64)
+    lasts = starts + lengths - 1
     ends = np.cumsum(lengths)
-    out = np.repeat(np.asarray(starts - (ends - lengths), np.int64), lengths)
-    out += np.arange(len(out))
-    return out
+    # steps of one, but from the last of a range to the next one's start
+    out = np.ones(ends[-1], np.int32 if lasts.max() < 1 << 30 else np.int64)
+    out[0] = starts[0]
+    out[ends[:-1]] = starts[1:] - lasts[:-1]
+    return np.cumsum(out, out=out)

@@ -24,6 +24,14 @@ def clashing(docs):
     return docs
 
 
+def test_ragged():
+    rng = np.random.default_rng(14)
+    for n in (0, 1, 2, 50):
+        for high in (10, 1 << 33):
+            starts, lengths = rng.integers(0, high, n), rng.integers(0, 4, n)
+            assert common.ragged(starts, lengths).tolist() == [s + i for s, k in zip(starts.tolist(), lengths.tolist(), strict=True) for i in range(k)]
+
+
 # sharding
 
 
