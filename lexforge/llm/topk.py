@@ -32,7 +32,7 @@ BLOCK_ROWS = 2048
 #: Terms and weights of the queries that are sent out together.
 BATCH_BYTES = 32 << 20
 #: Queries whose scores over a block are in memory together.
-TOGETHER = 32
+TOGETHER = 16
 
 BLOCKS = "block long, ids binary, lengths binary, terms binary, weights binary"
 FOUND = "query_id long, query_block long, query_at long, vec_id long, block long, at long, score long"
@@ -81,6 +81,7 @@ class Postings:
         names, starts = np.unique(terms[order], return_index=True)
         ends = np.append(starts, len(terms))[1:]
         w = weights[order]
+        self.most = int(np.abs(w).max()) if len(w) else 0
         # a term that every vector holds needs no row numbers: its postings are the whole column
         self.lists = {int(t): (None if e - s == len(ids) else rows[s:e], w[s:e]) for t, s, e in zip(names, starts, ends, strict=True)}
 
@@ -88,9 +89,10 @@ class Postings:
         """Adds products, term by term, to the dense scores of a few queries: query ``at[i]`` has ``terms[i]`` with ``weights[i]``."""
         order = np.argsort(terms, kind="stable")
         names, starts = np.unique(terms[order], return_index=True)
+        weights = weights.astype(scores.dtype)
         for term, mine in zip(names.tolist(), np.split(order, starts[1:]), strict=True):
             if (got := self.lists.get(term)) is not None:
-                rows, w = got
+                rows, w = got[0], got[1].astype(scores.dtype)
                 if rows is None and len(mine) == len(scores):
                     scores += weights[mine, None] * w  # a query has a term once, and ``mine`` is in the queries' order
                 elif rows is None:
@@ -174,7 +176,10 @@ def _search(queries: dict[str, np.ndarray] | None, k: int):
                 for i in range(0, n, TOGETHER):
                     j = min(i + TOGETHER, n)
                     own = slice(queries["starts"][i], queries["starts"][j])
-                    scores = np.zeros((j - i, len(every)), np.int64)
+                    # 32 bits where no sum of products can pass them: exact as well, and half the work
+                    longest = int(np.diff(queries["starts"][i : j + 1]).max())
+                    bound = postings.most * int(np.abs(queries["weights"][own]).max(initial=0)) * longest
+                    scores = np.zeros((j - i, len(every)), np.int32 if bound < 1 << 31 else np.int64)
                     of = np.repeat(np.arange(j - i), np.diff(queries["starts"][i : j + 1]))
                     postings.accumulate(of, queries["terms"][own], queries["weights"][own], scores)
                     for q in range(i, j):
@@ -183,7 +188,7 @@ def _search(queries: dict[str, np.ndarray] | None, k: int):
                             other = at != queries["at"][q]
                             ids, at, got = ids[other], at[other], got[other]
                         here = best(got, ids, k)
-                        merged = [np.concatenate(x) for x in zip(kept[q], (got[here], ids[here], np.full(len(here), block), at[here]), strict=True)]
+                        merged = [np.concatenate(x) for x in zip(kept[q], (got[here].astype(np.int64), ids[here], np.full(len(here), block), at[here]), strict=True)]
                         order = np.lexsort((merged[3], merged[2], merged[1], -merged[0]))[:k]
                         kept[q] = tuple(x[order] for x in merged)
         counts = [len(x[0]) for x in kept]

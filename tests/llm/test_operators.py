@@ -253,11 +253,11 @@ def slow_top(vectors, k):
     return Counter(out)
 
 
-@pytest.mark.parametrize("batch_bytes,block_rows", [(1 << 20, 2048), (400, 7)])
-def test_top_k(spark, batch_bytes, block_rows, monkeypatch):
+@pytest.mark.parametrize("batch_bytes,block_rows,size", [(1 << 20, 2048, 1), (400, 7, 1), (1 << 20, 16, 1 << 20)])
+def test_top_k(spark, batch_bytes, block_rows, size, monkeypatch):
     monkeypatch.setattr(topk, "BLOCK_ROWS", block_rows)
     rng = np.random.default_rng(2)
-    vectors = [(int(i), [int(x) for x in rng.integers(-3, 4, rng.integers(0, 6))]) for i in rng.integers(0, 40, 60)]
+    vectors = [(int(i), [size * int(x) for x in rng.integers(-3, 4, rng.integers(0, 6))]) for i in rng.integers(0, 40, 60)]
     schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("vector", T.ArrayType(T.LongType()))])
     frame = spark.createDataFrame(vectors, schema).repartition(3)
     got = topk.top_k(frame, F.col("id") % 3 == 0, 4, batch_bytes).collect()
