@@ -1,9 +1,9 @@
 """Language-model scoring: a gated recurrent network with a class-factored softmax.
 
-Texts are tokenised once into blocks (codes into a block's own dictionary), which are
-written. Words are counted over all training documents: the blocks' dictionaries are
-summed by word, and every block gets the counts of its own words back, so no task or
-worker ever holds the corpus's vocabulary.
+Texts are tokenised once into blocks (codes into a block's own dictionary, both
+compressed), which are written. Words are counted over all training documents: the
+blocks' dictionaries are summed by word, and every block gets the counts of its own
+words back, so no task or worker ever holds the corpus's vocabulary.
 
 The network's tokens are the most frequent words, the end of a text, and ``RARE``
 buckets of all other words by their ending; a rare word's probability is its
@@ -18,7 +18,8 @@ carried from window to window and cleared at a document's start); the weights ar
 then averaged by tokens, a chunk of them at a time. Gates use x / (1 + |x|).
 
 Scoring carries the state through whole documents, so a score is the log-likelihood
-of the complete text, its end included.
+of the complete text, its end included. A block's documents are scored some at a time,
+which bounds memory and changes no score.
 
 Defined cases: a null or empty text is its end alone; null ids train (they have no
 remainder); repeated rows are rows like others; of equally frequent words the first in
@@ -45,18 +46,25 @@ BLOCK_BYTES = 24 << 20
 TOKENS, RARE, MEMBERS, HIDDEN = 1024, 32, 32, 16
 ROUNDS, LANES, WINDOW, RATE = 3, 256, 16, 0.01
 SCORE_LANES, SCORE_WINDOW = 512, 32
+#: Targets whose probabilities are computed together; what they need stays in a core's cache.
+PLACES = 4096
+#: Tokens of a block that are scored together, in whole documents; their arrays are large. Scores don't depend on it.
+SCORE_TOKENS = 1 << 20
 END = 0
 #: Floats of the weights that are averaged together.
 CHUNK = 4096
 #: Tasks whose weights are summed in one group.
 FAN_IN = 64
 
-BLOCKS = "block long, doc_ids array<long>, held binary, lengths binary, codes binary, words array<string>, trained binary"
+BLOCKS = "block long, doc_ids array<long>, held binary, lengths binary, codes binary, words binary, trained binary"
 SCORED = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
 # blocks
 
+#: Bytes as the tokens have them.
+FOLD = bytes.maketrans(b"\t\n\x0b\x0c\rABCDEFGHIJKLMNOPQRSTUVWXYZ", b"     abcdefghijklmnopqrstuvwxyz")
+
 
 def planes(codes: np.ndarray) -> np.ndarray:
     """Bytes of int32 codes, all first bytes first: the high ones are nearly all 0 and compress away."""
@@ -67,18 +75,50 @@ def from_planes(data: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(data.reshape(4, -1).T).view("<i4").ravel()
 
 
+def squeezed(data: np.ndarray) -> np.ndarray:
+    """Bytes, compressed, after their number: rows stay small in the JVM, through shuffles and sorts."""
+    return np.concatenate([np.array([len(data)], "<i8").view(np.uint8), np.frombuffer(pa.compress(data, codec="zstd"), np.uint8)])
+
+
+def unsqueezed(data: np.ndarray) -> np.ndarray:
+    size = int(data[:8].view("<i8")[0])
+    return np.frombuffer(pa.decompress(pa.py_buffer(data[8:]), size, codec="zstd"), np.uint8) if size else np.zeros(0, np.uint8)
+
+
+def packed_words(words: pa.Array) -> np.ndarray:
+    """Strings (no nulls) as bytes: their number, their lengths in bytes, their bytes; compressed."""
+    data, lengths = binary_data(words, np.uint8)
+    return squeezed(np.concatenate([np.array([len(words)], "<i8").view(np.uint8), planes(lengths), data]))
+
+
+def unpacked_words(data: np.ndarray) -> pa.Array:
+    data = unsqueezed(data)
+    n = int(data[:8].view("<i8")[0])
+    offsets = np.concatenate([[0], np.cumsum(from_planes(data[8 : 8 + 4 * n]))]).astype(np.int32)
+    return pa.StringArray.from_buffers(n, pa.py_buffer(offsets), pa.py_buffer(data[8 + 4 * n :]))
+
+
+def folded(texts: pa.Array) -> pa.Array:
+    """Texts (no nulls) with A-Z in lower case and every white space as a space: bytes become bytes, so places stay."""
+    if not len(texts):
+        return texts
+    offsets = np.frombuffer(texts.buffers()[1], np.int32, count=len(texts) + 1, offset=texts.offset * 4)
+    data = texts.buffers()[2]
+    data = data.slice(int(offsets[0]), int(offsets[-1] - offsets[0])).to_pybytes().translate(FOLD) if data is not None else b""
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets - offsets[0]), pa.py_buffer(data))
+
+
 def tokenised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """(codes, words of each text, the different words)."""
-    texts = pc.ascii_lower(texts)
-    for space in "\n\t\x0b\x0c\r":
-        texts = pc.replace_substring(texts, space, " ")
-    lists = pc.split_pattern(texts, " ")
+    lists = pc.split_pattern(folded(texts), " ")
     offsets = np.asarray(lists.offsets, dtype=np.int64)
     coded = lists.flatten().dictionary_encode()
-    codes = np.asarray(coded.indices, dtype=np.int64)
+    codes = np.asarray(coded.indices)
     empty = pc.index(coded.dictionary, "").as_py()
     some = codes != empty
-    lengths = np.diff(np.concatenate([[0], np.cumsum(some)])[offsets - offsets[0]])
+    before = np.zeros(len(codes) + 1, np.int32)
+    np.cumsum(some, out=before[1:])
+    lengths = np.diff(before[offsets - offsets[0]]).astype(np.int64)
     codes = codes[some]
     if empty >= 0:
         codes -= codes > empty
@@ -114,7 +154,7 @@ def blocks(docs: DataFrame) -> DataFrame:
         whole = lambda x: binary_array(x, np.array([len(x)]))
         one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
         return pa.RecordBatch.from_arrays(
-            [pa.array([at]), one(doc_ids), whole(flags), whole(lengths), whole(planes(codes)), one(words), whole(trained)], ["block", "doc_ids", "held", "lengths", "codes", "words", "trained"]
+            [pa.array([at]), one(doc_ids), whole(flags), whole(lengths), whole(squeezed(planes(codes))), whole(packed_words(words)), whole(trained)], ["block", "doc_ids", "held", "lengths", "codes", "words", "trained"]
         )
 
     key = F.col("doc_id").cast("long")
@@ -127,12 +167,30 @@ class Block:
         get = lambda name, t: binary_data(batch.column(name).slice(row, 1), t)[0]
         self.doc_ids = batch.column("doc_ids").slice(row, 1).flatten()
         self.held, self.lengths = get("held", np.uint8), get("lengths", np.int64)
-        self.codes = from_planes(get("codes", np.uint8))
-        self.words = batch.column("words").slice(row, 1).flatten()
+        self.words = unpacked_words(get("words", np.uint8))
+        self.codes = from_planes(unsqueezed(get("codes", np.uint8)))
+
+    def coded(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of some documents (true in ``some``) with a code of its own for the end after each text, and the lengths with it."""
+        lengths = self.lengths[some]
+        return np.insert(self.codes[np.repeat(some, self.lengths)], np.cumsum(lengths), len(self.words)), lengths + 1
+
+    def groups(self):
+        """Documents (true) by about SCORE_TOKENS tokens, those of like lengths together; a longer one stands alone."""
+        order = np.argsort(-self.lengths, kind="stable")
+        ends = np.cumsum(self.lengths[order] + 1)
+        i = 0
+        while i < len(order):
+            j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + SCORE_TOKENS, side="right")))
+            some = np.zeros(len(order), bool)
+            some[order[i:j]] = True
+            yield some
+            i = j
 
-    def tokens(self, values: np.ndarray, end) -> tuple[np.ndarray, np.ndarray]:
-        """values of all codes with ``end`` after each text, and the lengths with it."""
-        return np.insert(values[self.codes], np.cumsum(self.lengths), end), self.lengths + 1
+
+def spread(codes: np.ndarray, values: np.ndarray, end) -> np.ndarray:
+    """Of codes with ends: each one's value, ``end`` at the ends."""
+    return np.concatenate([values, np.array([end], values.dtype)])[codes]
 
 
 # the network
@@ -156,15 +214,23 @@ class Vocabulary:
 
     def of(self, words: pa.Array) -> np.ndarray:
         """The network's token of each word."""
-        get, rare = self.words.get, self.rare
-        return np.fromiter((got if (got := get(w)) is not None else rare[zlib.crc32(w[-2:].encode()) % RARE] for w in words.to_pylist()), np.int32, count=len(words))
+        at = pc.index_in(words, value_set=pa.array(list(self.words), pa.string()))
+        out = np.array([*self.words.values(), 0], np.int32)[np.asarray(pc.fill_null(at, len(self.words)))]
+        rest = np.asarray(pc.is_null(at))
+        # few words end differently: each ending is hashed once
+        ends = pc.utf8_slice_codeunits(words.filter(pa.array(rest)), -2).dictionary_encode()
+        of_ends = np.array([self.rare[zlib.crc32(x.encode()) % RARE] for x in ends.dictionary.to_pylist()], np.int32)
+        out[rest] = of_ends[np.asarray(ends.indices)]
+        return out
 
     def share(self, tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 of each word's smoothed share of its bucket; 0 for words that are tokens themselves."""
-        out = np.zeros(len(tokens))
+        masses = np.zeros(self.size)
         for b, (total, kinds) in self.buckets.items():
-            at = tokens == self.rare[b]
-            out[at] = np.log10((counts[at] + 0.1) / (total + 0.1 * (kinds + 1)))
+            masses[self.rare[b]] = total + 0.1 * (kinds + 1)
+        masses = masses[tokens]
+        out, at = np.zeros(len(tokens)), masses > 0
+        out[at] = np.log10((counts[at] + 0.1) / masses[at])
         return out
 
 
@@ -209,44 +275,32 @@ def forward(w: Weights, inputs: np.ndarray, starts: np.ndarray, state: np.ndarra
     """States after each of the steps (HIDDEN x steps * lanes), and the last. starts: true where a document begins."""
     h, (steps, lanes) = HIDDEN, inputs.shape
     out = np.empty((h, steps * lanes), np.float32)
-    given = np.take(w.e, inputs.ravel(), axis=1)
     fresh = starts.any(axis=1)
     for t in range(steps):
-        now = slice(t * lanes, (t + 1) * lanes)
         if fresh[t]:
             state = state * ~starts[t]
+        given = np.take(w.e, inputs[t], axis=1)
         z = w.u @ state
-        a = given[: 2 * h, now] + z[: 2 * h]
+        a = given[: 2 * h]
+        a += z[: 2 * h]
         da = _soft(a)
         a *= da
         a *= 0.5
         a += 0.5  # the gates
-        b = a[:h] * z[2 * h :]
-        b += given[2 * h :, now]
+        zn = z[2 * h :]
+        b = a[:h] * zn
+        b += given[2 * h :]
         db = _soft(b)
         b *= db  # the new state
-        kept = state - b
-        if keep is not None:
-            keep.append((state, z[2 * h :], a, da, b, db))
-        kept *= a[h:]
+        change = state - b
+        kept = change * a[h:]
         kept += b
-        out[:, now] = kept
+        if keep is not None:
+            keep.append((state, zn, a, da, change, db))
+        out[:, t * lanes : (t + 1) * lanes] = kept
         state = kept
     return out, state
 
-
-def _shifted(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=0)
-    return x
-
-
-def softmax(x: np.ndarray) -> np.ndarray:
-    """Over the first axis, in place."""
-    np.exp(_shifted(x), out=x)
-    x *= np.reciprocal(x.sum(axis=0))
-    return x
-
-
 def by_class(targets: np.ndarray, classes: int):
     """(order, bounds): positions sorted by class, and where each class begins."""
     of = (targets // MEMBERS).astype(np.int16)
@@ -254,23 +308,37 @@ def by_class(targets: np.ndarray, classes: int):
     return order, np.searchsorted(of[order], np.arange(classes + 1))
 
 
-def _chosen(x: np.ndarray, goal: np.ndarray) -> np.ndarray:
-    """ln of the softmax of each column at its goal."""
-    at = _shifted(x)[goal, np.arange(len(goal))]
-    return at - np.log(np.exp(x, out=x).sum(axis=0))
+def logits(w: Weights, states: np.ndarray, targets: np.ndarray):
+    """(order, spans, states, goals, sides, safe): positions sorted by class; where each class that occurs lies there; the
+    states in that order, over a row of ones for the biases; the targets in that order; logits of classes and of each
+    target's class's members, with each goal's place in them; whether no exponential of them can overflow or vanish."""
+    n, classes = len(targets), len(w.bc)
+    order, bounds = by_class(targets, classes)
+    mine = np.ones((HIDDEN + 1, n), np.float32)
+    np.take(states, order, axis=1, out=mine[:-1], mode="clip")
+    goals = targets[order]
+    wc, wm = np.concatenate([w.wc, w.bc], axis=1), np.concatenate([w.wm, w.bm], axis=2)
+    reach = max(1.0, float(np.abs(states).max(initial=0))) * max(float(np.abs(x).sum(axis=-1).max()) for x in (wc, wm))
+    x = np.empty((MEMBERS, n), np.float32)
+    spans = [(c, slice(i, j)) for c, (i, j) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)) if i < j]
+    for c, at in spans:
+        np.matmul(wm[c], mine[:, at], out=x[:, at])
+    rows = np.arange(n)
+    return order, spans, mine, goals, ((wc @ mine, goals // MEMBERS * n + rows), (x, goals % MEMBERS * n + rows)), reach < 60
 
 
 def log_probabilities(w: Weights, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """ln P of each target, by states (HIDDEN x targets)."""
-    out = _chosen(w.wc @ states + w.bc, targets // MEMBERS)
-    order, bounds = by_class(targets, len(w.bc))
-    mine, member = np.take(states, order, axis=1), (targets % MEMBERS)[order]
-    rest = np.empty(len(targets), np.float32)
-    for c in range(len(w.bc)):
-        at = slice(bounds[c], bounds[c + 1])
-        if bounds[c] < bounds[c + 1]:
-            rest[at] = _chosen(w.wm[c] @ mine[:, at] + w.bm[c], member[at])
-    out[order] += rest
+    out = np.empty(len(targets), np.float32)
+    for i in range(0, len(targets), PLACES):
+        order, _, _, goals, sides, safe = logits(w, states[:, i : i + PLACES], targets[i : i + PLACES])
+        mine = np.zeros(len(goals), np.float32)
+        for x, at in sides:
+            if not safe:
+                x -= x.max(axis=0)
+            mine += np.take(x, at)
+            mine -= np.log(np.exp(x, out=x).sum(axis=0))
+        out[i : i + PLACES][order] = mine
     return out
 
 
@@ -278,40 +346,41 @@ def gradients(w: Weights, vocabulary: Vocabulary, inputs, starts, targets, state
     """Of the mean of -ln P over a window, by backpropagation through its steps; the last state; the mean. live: the places that count, else all."""
     h, keep = HIDDEN, []
     flat, last = forward(w, inputs, starts, state, keep)
-    goal = targets.ravel()
-    n = len(goal)
-    counted = np.ones(n, bool) if live is None else live.ravel()
+    n = targets.size
+    order, spans, mine, _, sides, safe = logits(w, flat, targets.ravel())
+    counted = np.ones(n, bool) if live is None else live.ravel()[order]
     total = int(counted.sum())
     scale = counted * np.float32(1 / total)
     g = Weights(vocabulary, np.zeros_like(w.flat))
-    p = softmax(w.wc @ flat + w.bc)
-    rows = np.arange(n)
-    loss = -np.log(np.maximum(p[goal // MEMBERS, rows], 1e-30))[counted].sum()
-    p[goal // MEMBERS, rows] -= 1
-    p *= scale
-    g.wc[...], g.bc[:, 0] = p @ flat.T, p.sum(axis=1)
-    d = w.wc.T @ p
-    order, bounds = by_class(goal, len(w.bc))
-    mine, member = np.take(flat, order, axis=1), (goal % MEMBERS)[order]
-    into = np.empty_like(mine)
-    for c in range(len(w.bc)):
-        at = slice(bounds[c], bounds[c + 1])
-        if bounds[c] < bounds[c + 1]:
-            s = mine[:, at]
-            q = softmax(w.wm[c] @ s + w.bm[c])
-            own = rows[: s.shape[1]]
-            loss -= np.log(np.maximum(q[member[at], own], 1e-30))[counted[order[at]]].sum()
-            q[member[at], own] -= 1
-            q *= scale[order[at]]
-            g.wm[c], g.bm[c, :, 0] = q @ s.T, q.sum(axis=1)
-            into[:, at] = w.wm[c].T @ q
-    d[:, order] += into
+    loss = 0.0
+    for x, at in sides:
+        if not safe:
+            x -= x.max(axis=0)
+        np.exp(x, out=x)
+        sums = np.reciprocal(x.sum(axis=0))
+        chosen = np.take(x, at) * sums
+        loss -= float(np.log(np.maximum(chosen, 1e-30))[counted].sum())
+        sums *= scale
+        x *= sums
+        x.reshape(-1)[at] = (chosen - 1) * scale
+    p, q = (x for x, _ in sides)
+    both = p @ mine.T
+    g.wc[...], g.bc[...] = both[:, :-1], both[:, -1:]
+    into = w.wc.T @ p
+    for c, at in spans:
+        s = q[:, at]
+        both = s @ mine[:, at].T
+        g.wm[c], g.bm[c] = both[:, :-1], both[:, -1:]
+        into[:, at] += w.wm[c].T @ s
+    places = np.empty(n, np.int64)
+    places[order] = np.arange(n)
+    d = np.take(into, places, axis=1, mode="clip")
     steps, lanes = inputs.shape
     given = np.empty((3 * h, n), np.float32)
     back = np.zeros_like(state)
     step = np.empty((3 * h, lanes), np.float32)
     for t in range(steps - 1, -1, -1):
-        before, zn, gates, da, new, db = keep[t]
+        before, zn, gates, da, change, db = keep[t]
         now = slice(t * lanes, (t + 1) * lanes)
         top = d[:, now] + back
         stay = top * gates[h:]
@@ -320,12 +389,12 @@ def gradients(w: Weights, vocabulary: Vocabulary, inputs, starts, targets, state
         dn *= db
         da *= da
         da *= 0.5
-        step[:h] = dn * zn
-        step[h : 2 * h] = top * (before - new)
+        np.multiply(dn, zn, out=step[:h])
+        np.multiply(top, change, out=step[h : 2 * h])
         step[: 2 * h] *= da
-        step[2 * h :] = dn
-        given[:, now] = step
-        step[2 * h :] *= gates[:h]
+        given[: 2 * h, now] = step[: 2 * h]
+        given[2 * h :, now] = dn
+        np.multiply(dn, gates[:h], out=step[2 * h :])
         g.u += step @ before.T
         back = w.u.T @ step
         back += stay
@@ -333,9 +402,15 @@ def gradients(w: Weights, vocabulary: Vocabulary, inputs, starts, targets, state
             back *= ~starts[t]
     ids = inputs.ravel()
     by = np.argsort(ids.astype(np.int16) if vocabulary.size < 1 << 15 else ids, kind="stable")
-    names, firsts = np.unique(ids[by], return_index=True)
-    g.e[:, names] = np.add.reduceat(np.take(given, by, axis=1), firsts, axis=1)
-    return g, last, float(loss) / total
+    ids = ids[by]
+    firsts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    # a last column of zeros for tokens that don't occur
+    sums = np.zeros((3 * h, len(firsts) + 1), np.float32)
+    np.add.reduceat(np.take(given, by, axis=1, mode="clip"), firsts, axis=1, out=sums[:, :-1])
+    at = np.full(g.e.shape[1], len(firsts))
+    at[ids[firsts]] = np.arange(len(firsts))
+    np.take(sums, at, axis=1, out=g.e, mode="clip")
+    return g, last, loss / total
 
 
 def train(w: Weights, vocabulary: Vocabulary, tokens: np.ndarray, lengths: np.ndarray, moments: list) -> None:
@@ -347,7 +422,7 @@ def train(w: Weights, vocabulary: Vocabulary, tokens: np.ndarray, lengths: np.nd
     steps = -(-total // lanes)
     begins = np.zeros(total, bool)
     begins[np.cumsum(lengths) - lengths] = True
-    before = np.concatenate([[END], tokens[:-1]])
+    before = np.concatenate([np.array([END], tokens.dtype), tokens[:-1]])
     # no token is left out: the streams' lengths differ by one at most, and what fills up the last step doesn't count
     sizes = np.full(lanes, total // lanes) + (np.arange(lanes) < total % lanes)
     firsts = np.cumsum(sizes) - sizes
@@ -358,13 +433,22 @@ def train(w: Weights, vocabulary: Vocabulary, tokens: np.ndarray, lengths: np.nd
         live = step < sizes
         place = firsts + np.minimum(step, sizes - 1)
         g, state, _ = gradients(w, vocabulary, before[place], begins[place], tokens[place], state, None if live.all() else live)
-        norm = float(np.sqrt((g.flat**2).sum()))
-        x = g.flat * np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
+        x = g.flat
+        norm = float(np.sqrt((x**2).sum()))
+        x *= np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
         moments[2] += 1
         moments[0] += 0.1 * (x - moments[0])
-        moments[1] += 0.01 * (x * x - moments[1])
+        x *= x
+        x -= moments[1]
+        x *= 0.01
+        moments[1] += x
         n = moments[2]
-        w.flat -= np.float32(RATE) * (moments[0] / (1 - 0.9**n)) / (np.sqrt(moments[1] / (1 - 0.99**n)) + 1e-6)
+        np.divide(moments[1], 1 - 0.99**n, out=x)
+        np.sqrt(x, out=x)
+        x += 1e-6
+        np.divide(moments[0], x, out=x)
+        x *= np.float32(RATE / (1 - 0.9**n))
+        w.flat -= x
 
 
 def likelihoods(w: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -378,8 +462,10 @@ def likelihoods(w: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarr
         lanes[lane].append(d)
         heapq.heappush(heap, (load + int(lengths[d]), lane))
     lanes = sorted((x for x in lanes if x), key=lambda x: -int(lengths[x].sum()))
-    places = [ragged(firsts[x], lengths[x]) for x in lanes]
-    sizes = np.array([len(x) for x in places])
+    mine = [d for x in lanes for d in x]
+    places = ragged(firsts[mine], lengths[mine])  # lane after lane
+    sizes = np.array([int(lengths[x].sum()) for x in lanes], np.int64)
+    begin = np.cumsum(sizes) - sizes
     begins = np.zeros(len(tokens), bool)
     begins[firsts] = True
     before = np.concatenate([tokens[:0], np.array([END], tokens.dtype), tokens[:-1]])
@@ -389,8 +475,9 @@ def likelihoods(w: Weights, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarr
         live = int((sizes > at).sum())
         steps = min(SCORE_WINDOW, int(sizes[0]) - at)
         # a lane that ends within the window repeats its last place, which is left out below
-        place = np.stack([x[np.minimum(np.arange(at, at + steps), len(x) - 1)] for x in places[:live]], axis=1)
-        mine = np.arange(at, at + steps)[:, None] < sizes[None, :live]
+        step = np.arange(at, at + steps)[:, None]
+        place = places[begin[:live] + np.minimum(step, sizes[:live] - 1)]
+        mine = step < sizes[:live]
         states, last = forward(w, before[place], begins[place], state[:, :live])
         kept = np.flatnonzero(mine)
         out[place[mine]] = log_probabilities(w, states if len(kept) == mine.size else states[:, kept], tokens[place[mine]])
@@ -407,7 +494,7 @@ def dictionary(rows: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                words = batch.column("words").slice(row, 1).flatten()
+                words = unpacked_words(binary_data(batch.column("words").slice(row, 1), np.uint8)[0])
                 n, _ = binary_data(batch.column("trained").slice(row, 1), np.int64)
                 block = batch.column("block")[row].as_py()
                 for i in range(0, len(words), 50_000):
@@ -426,10 +513,9 @@ def averaged(rows: DataFrame, n_blocks: int, vocabulary: Vocabulary, flat: np.nd
         for batch in batches:
             for row in range(batch.num_rows):
                 block = Block(batch, row)
-                values, lengths = block.tokens(vocabulary.of(block.words), END)
-                mine = (block.held == 0) & (np.arange(len(lengths)) % parts == part)
-                train(w, vocabulary, values[np.repeat(mine, lengths)], lengths[mine], moments)
-                used += int(lengths[mine].sum())
+                codes, lengths = block.coded((block.held == 0) & (np.arange(len(block.held)) % parts == part))
+                train(w, vocabulary, spread(codes, vocabulary.of(block.words), END), lengths, moments)
+                used += len(codes)
         if used:
             weighted = w.flat.astype(np.float64) * used
             salt = TaskContext.get().partitionId()
@@ -491,17 +577,18 @@ def scored(docs: DataFrame) -> DataFrame:
                 got = np.asarray(batch.column("counts").slice(row, 1).flatten(), dtype=np.int64)
                 tokens = vocabulary.of(block.words)
                 base = lambda c: np.log10((c + 0.1) / (n_train + 0.1 * (n_kinds + 1)))
-                values, lengths = block.tokens(tokens, END)
-                firsts = np.cumsum(lengths) - lengths
-                sums = lambda x, kind=np.float64: np.add.reduceat(x, firsts, dtype=kind)
-                model = sums(likelihoods(w, values, lengths)) / np.log(10)
-                del values  # arrays of a block's tokens are large: one at a time
-                model += sums(block.tokens(vocabulary.share(tokens, got), 0.0)[0])
-                n_known = sums(block.tokens((got > 0).astype(np.int8), int(ends > 0))[0], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [block.doc_ids, pa.array(block.held == 1), pa.array(lengths), pa.array(n_known), pa.array(np.full(len(lengths), n_train)), pa.array(sums(block.tokens(base(got), base(ends))[0])), pa.array(model)],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+                bases, shares, known = base(got), vocabulary.share(tokens, got), (got > 0).astype(np.int8)
+                for some in block.groups():
+                    codes, lengths = block.coded(some)
+                    firsts = np.cumsum(lengths) - lengths
+                    sums = lambda x, kind=np.float64: np.add.reduceat(x, firsts, dtype=kind)  # noqa: B023, E731
+                    model = sums(likelihoods(w, spread(codes, tokens, END), lengths)) / np.log(10)
+                    model += sums(spread(codes, shares, 0.0))
+                    n_known = sums(spread(codes, known, int(ends > 0)), np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [block.doc_ids.filter(pa.array(some)), pa.array(block.held[some] == 1), pa.array(lengths), pa.array(n_known), pa.array(np.full(len(lengths), n_train)), pa.array(sums(spread(codes, bases, base(ends)))), pa.array(model)],
+                        ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                    )
 
     # a block of empty texts has no words and so no counts
     joined = rows.select("block", "doc_ids", "held", "lengths", "codes", "words").join(back, F.col("block") == F.col("_block"), "left")

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -140,6 +141,65 @@ def test_state_is_carried_through_whole_documents(monkeypatch):
         at += n
 
 
+def test_words_become_tokens_with_one_hash_an_ending(monkeypatch):
+    vocabulary, _ = model()
+    words = [*(f"{i}{end}" for i in range(2000) for end in ("ing", "é漢", "🙂")), "w7", "", "x", "w59", "w60"]
+    expected = [vocabulary.words.get(w, int(vocabulary.rare[zlib.crc32(w[-2:].encode()) % lm.RARE])) for w in words]
+    hashed = []
+    real = zlib.crc32
+    monkeypatch.setattr(lm.zlib, "crc32", lambda x: (hashed.append(x), real(x))[1])
+    got = vocabulary.of(pa.array(words, pa.string()))
+    assert got.tolist() == expected
+    assert len(hashed) == len({w[-2:] for w in words if w not in vocabulary.words})
+    assert len(vocabulary.of(pa.array([], pa.string()))) == 0
+
+
+def test_exponentials_of_a_window_are_taken_for_all_classes_at_once(monkeypatch):
+    vocabulary, w = model()
+    rng = np.random.default_rng(4)
+    inputs, goals = rng.integers(0, vocabulary.size, (2, 16, 8))
+    calls, real = [], np.exp
+    monkeypatch.setattr(lm.np, "exp", lambda *x, **more: (calls.append(x[0].shape), real(*x, **more))[1])
+    lm.gradients(w, vocabulary, inputs, np.zeros(inputs.shape, bool), goals, np.zeros((lm.HIDDEN, 8), np.float32))
+    assert len(calls) == 2
+
+
+def test_weights_whose_exponentials_overflow():
+    vocabulary, w = model()
+    w.wc *= 100
+    w.wm *= 100
+    rng = np.random.default_rng(5)
+    states, targets = rng.uniform(-1, 1, (lm.HIDDEN, 200)).astype(np.float32), rng.integers(0, vocabulary.size, 200)
+    expected = np.zeros(200)
+    for i, (c, m) in enumerate(zip(targets // lm.MEMBERS, targets % lm.MEMBERS, strict=True)):
+        for x, at in ((w.wc @ states[:, i].astype(float) + w.bc[:, 0], c), (w.wm[c] @ states[:, i].astype(float) + w.bm[c][:, 0], m)):
+            expected[i] += x[at] - x.max() - np.log(np.exp(x - x.max()).sum())
+    assert expected.min() < -100
+    assert np.allclose(lm.log_probabilities(w, states, targets), expected, rtol=1e-4, atol=1e-2)
+    g, _, loss = lm.gradients(w, vocabulary, targets.reshape(10, 20), np.zeros((10, 20), bool), targets.reshape(10, 20), np.zeros((lm.HIDDEN, 20), np.float32))
+    assert np.isfinite(g.flat).all() and np.isfinite(loss)
+
+
+def test_scores_by_groups_of_documents(spark, docs, monkeypatch):
+    """A block's documents are scored some at a time; each is whole and scores as in one go."""
+    monkeypatch.setattr(lm, "averaged", lambda rows, n_blocks, vocabulary, flat, part, parts: (flat + np.random.default_rng(part).normal(0, 0.2, flat.shape)).astype(np.float32))
+    frame = language(spark, docs)
+    got = []
+    for tokens in (1 << 20, 700):
+        monkeypatch.setattr(lm, "SCORE_TOKENS", tokens)
+        got.append(sorted(lm.scored(frame).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.n_tokens, r.base_score, r.score)))
+    assert [tuple(r)[:5] for r in got[0]] == [tuple(r)[:5] for r in got[1]]
+    assert np.allclose([r[5:] for r in got[0]], [r[5:] for r in got[1]], rtol=1e-5, atol=1e-4)
+
+
+def test_groups_hold_each_document_once():
+    block = lm.Block.__new__(lm.Block)
+    block.lengths = np.array([0, 5, 1 << 21, 0, 3, 1 << 20, 7, 1 << 19])
+    groups = list(block.groups())
+    assert (np.sum(groups, axis=0) == 1).all()
+    assert all(int((block.lengths[x] + 1).sum()) <= lm.SCORE_TOKENS or x.sum() == 1 for x in groups)
+
+
 def test_updates_of_a_full_part(monkeypatch):
     vocabulary, w = model()
     seen = []
@@ -175,6 +235,18 @@ def test_codes_as_planes():
     assert (lm.from_planes(lm.planes(codes)) == codes).all()
 
 
+def test_words_and_codes_compressed():
+    for words in ([], [""], ["a", "", "漢字", "x\x00y", "z" * 70_000], [f"w{i}" for i in range(3000)]):
+        column = pa.array(["before", *words], pa.string()).slice(1)
+        got = lm.unpacked_words(lm.packed_words(column))
+        got.validate(full=True)
+        assert got.to_pylist() == words
+    for size in (0, 1, 100_000):
+        data = np.arange(size).astype(np.uint8)
+        assert (lm.unsqueezed(lm.squeezed(data)) == data).all()
+    assert len(lm.squeezed(lm.planes(np.arange(50_000) % 300))) < 50_000
+
+
 # the pipeline
 
 
