@@ -59,3 +59,32 @@ def once(df: DataFrame, **columns: Column) -> DataFrame:
     evaluate them again for every reference.
     """
     return df.select("*", F.inline(F.array(F.struct(*(c.alias(k) for k, c in columns.items())))))
+
+
+#: Elements of a block of an array that a fold goes through.
+BLOCK = 256
+
+
+def blocks(values: Column, state: Column, fold) -> Column:
+    """fold(state, block) over blocks of an array: lists that grow with a block, instead of with the array, keep a fold linear.
+
+    fold(state, block) is a struct with the fields of ``state``; its field ``out`` is what the block adds to the list.
+    """
+
+    def over(v: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            return bind(fold(acc, F.slice(v, i + 1, F.lit(BLOCK))), lambda r: r.withField("out", F.concat(acc["out"], r["out"])))
+
+        return F.aggregate(F.sequence(F.lit(0), F.greatest(F.size(v) - 1, F.lit(0)), F.lit(BLOCK)), state, step)
+
+    return bind(values, over)
+
+
+def running(values: Column) -> Column:
+    """Running sums of an array of int, in the row."""
+    empty = F.array().cast("array<int>")
+
+    def fold(acc: Column, block: Column) -> Column:
+        return F.aggregate(block, F.struct(acc["at"].alias("at"), empty.alias("out")), lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"] + x)).alias("out")))
+
+    return blocks(values, F.struct(F.lit(0).alias("at"), empty.alias("out")), fold)["out"]

@@ -1,7 +1,7 @@
 """Spans: extraction with offsets, overlap, splitting, recovery, validation.
 
 A span is a row: file_id, start, end (code points, end exclusive), text, ... Offsets
-of matches come from prefix sums, in a window, of the lengths between and of matches.
+of matches come from prefix sums, in the row, of the lengths between and of matches.
 """
 
 import re
@@ -22,22 +22,32 @@ _EDGE = r"\p{L}\p{N}_"
 
 # Patterns of name candidates, by priority.
 # Repeats are possessive, so that a run of any length takes no stack: what follows can't be found by giving back.
-CAPITALISED_RUN = rf"(?<![{_EDGE}])[A-Z][a-z]++(?![{_EDGE}])(?:[{WS}]++[A-Z][a-z]++(?![{_EDGE}]))*+"
+# What stands before a capital is looked at once the capital is found, which is rarer.
+_CAPITAL = rf"[A-Z](?<![{_EDGE}][A-Z])"
+CAPITALISED_RUN = rf"{_CAPITAL}[a-z]++(?![{_EDGE}])(?:[{WS}]++[A-Z][a-z]++(?![{_EDGE}]))*+"
 CANDIDATES = [
     ("header", rf"(?:From|To|CC|Cc|Attn|Dear|Sincerely)[:{WS}]+[A-Za-z][A-Za-z0-9{WS}.\-']{{2,40}}", rf"^(?:From|To|CC|Cc|Attn|Dear|Sincerely)[:{WS}]+"),
-    ("capitalized", rf"(?<![{_EDGE}])[A-Z][a-z]+(?:[{WS}]+[A-Z][a-z]+){{1,3}}(?![{_EDGE}])", None),
-    ("ocr_corrupted", rf"(?<![{_EDGE}])[A-Z][a-z0-9]+(?:[{WS}]+[A-Z][a-z0-9]+)?(?![{_EDGE}])", None),
+    ("capitalized", rf"{_CAPITAL}[a-z]+(?:[{WS}]+[A-Z][a-z]+){{1,3}}(?![{_EDGE}])", None),
+    ("ocr_corrupted", rf"{_CAPITAL}[a-z0-9]+(?:[{WS}]+[A-Z][a-z0-9]+)?(?![{_EDGE}])", None),
 ]
 
 
+def matched(text: Column, pattern: str) -> Column:
+    """Array of (start, end, match) of every match of a pattern (none may be empty)."""
+
+    def placed(found: Column) -> Column:
+        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found))
+        ends = X.running(F.zip_with(found, gaps, lambda m, g: F.length(m) + F.length(g)))
+        some = F.zip_with(found, ends, lambda m, e: F.struct((e - F.length(m)).alias("start"), e.alias("end"), m.alias("match")))
+        return F.when(F.size(found) > 0, some)
+
+    return X.bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+
+
 def matches(docs: DataFrame, pattern: str, text: str = "text", key: str = "file_id", *more: str) -> DataFrame:
     """key, more, idx, start, end, match of every match of a pattern (none may be empty)."""
-    found, gaps = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    zipped = F.arrays_zip(found.alias("match"), F.slice(gaps, F.lit(1), F.size(found)).alias("gap"))
-    rows = docs.filter(F.col(text).rlike(pattern)).select(key, *more, F.monotonically_increasing_id().alias("_row"), zipped.alias("_z"))
-    rows = rows.select(key, *more, "_row", F.posexplode("_z").alias("idx", "x"))
-    upto = F.sum(F.length("x.gap") + F.length("x.match")).over(Window.partitionBy(key, "_row").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)).cast("int")
-    return rows.select(key, *more, "idx", (upto - F.length("x.match")).alias("start"), upto.alias("end"), F.col("x.match").alias("match"))
+    rows = X.once(docs.select(key, *more, F.col(text).alias("_t")), _m=matched(F.col("_t"), pattern))
+    return rows.select(key, *more, F.posexplode("_m").alias("idx", "x")).select(key, *more, "idx", "x.start", "x.end", "x.match")
 
 
 def chunks(docs: DataFrame, text: str = "text", key: str = "file_id", size: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
@@ -71,24 +81,36 @@ def without_overlaps(spans: DataFrame) -> DataFrame:
 
     In the order of (start, falling confidence): at the first kept span that it
     overlaps, a span takes that one's place if it is surer, else it goes. A fold over
-    a file's sorted spans, within the file's task.
+    a file's sorted spans, within the file's task. Kept spans never overlap each other,
+    so that a span can only meet the last of those that aren't empty; a span without an
+    extent, or with a null in its place, is met by none that comes later.
     """
-    kinds = f"array<struct<{SPAN}>>"
-    order = F.array_sort(F.collect_list(F.struct("start", (-F.col("confidence")).alias("_falling"), "end", "text", "entity_type", "confidence", "page_number")))
-    bare = F.transform(order, lambda s: F.struct(*(s[x.split(":")[0]].alias(x.split(":")[0]) for x in SPAN.split(","))))
-
-    def step(kept: Column, s: Column) -> Column:
-        twin = F.exists(kept["seen"], lambda k: (k["start"] == s["start"]) & (k["end"] == s["end"]) & (k["text"] == s["text"]))
-        meets = F.transform(kept["kept"], lambda k, i: F.when((s["start"] < k["end"]) & (s["end"] > k["start"]), i))
-        at = F.get(F.filter(meets, lambda i: i.isNotNull()), 0)
-        surer = s["confidence"] > F.get(kept["kept"], at)["confidence"]
-        without = F.filter(kept["kept"], lambda _, i: i != at)
-        now = F.when(twin, kept["kept"]).when(at.isNull(), F.concat(kept["kept"], F.array(s))).when(surer, F.concat(without, F.array(s))).otherwise(kept["kept"])
-        return F.struct(now.cast(kinds).alias("kept"), F.when(twin, kept["seen"]).otherwise(F.concat(kept["seen"], F.array(s))).cast(kinds).alias("seen"))
-
-    empty = F.array().cast(kinds)
-    folded = F.aggregate(bare.cast(kinds), F.struct(empty.alias("kept"), empty.alias("seen")), step, lambda a: F.array_sort(a["kept"]))
-    return spans.groupBy("file_id").agg(folded.alias("s")).select("file_id", F.explode("s").alias("s")).select("file_id", "s.*")
+    fields = [x.split(":")[0] for x in SPAN.split(",")]
+    kind, rest = f"struct<{SPAN}>", ["entity_type", "confidence", "page_number"]
+    falling = (-F.col("confidence")).alias("_falling")
+    gathered = F.sort_array(F.collect_list(F.struct("start", "end", "text", falling, *rest)))
+
+    def single(s: Column) -> Column:
+        twin = lambda x, y: (x["start"] == y["start"]) & (x["end"] == y["end"]) & (x["text"] == y["text"])
+        return F.filter(s, lambda x, i: ~F.coalesce((i > 0) & twin(x, F.get(s, i - 1)), F.lit(False)))
+
+    def ordered(s: Column) -> Column:
+        by = F.sort_array(F.transform(s, lambda x: F.struct(*(x[f].alias(f) for f in ["start", "_falling", "end", "text", *rest]))))
+        return F.transform(by, lambda x: F.struct(*(x[f].alias(f) for f in fields)).cast(kind))
+
+    def step(acc: Column, s: Column) -> Column:
+        last, out = acc["last"], acc["out"]
+        meets = F.coalesce((s["start"] < last["end"]) & (s["end"] > last["start"]), F.lit(False))
+        extent = F.coalesce(s["start"] < s["end"], F.lit(False))
+        done = F.when(meets, out).when(~extent, F.concat(out, F.array(s))).when(last.isNull(), out).otherwise(F.concat(out, F.array(last)))
+        now = F.when(F.when(meets, s["confidence"] > last["confidence"]).otherwise(extent), s).otherwise(last)
+        return F.struct(now.cast(kind).alias("last"), done.cast(f"array<{kind}>").alias("out"))
+
+    empty = F.array().cast(f"array<{kind}>").alias("out")
+    fold = lambda acc, block: F.aggregate(block, F.struct(acc["last"].alias("last"), empty), step)
+    folded = X.blocks(ordered(X.bind(F.col("s"), single)), F.struct(F.lit(None).cast(kind).alias("last"), empty), fold)
+    kept = X.bind(folded, lambda a: F.when(a["last"].isNull(), a["out"]).otherwise(F.concat(a["out"], F.array(a["last"]))))
+    return X.once(spans.groupBy("file_id").agg(gathered.alias("s")), kept=kept).select("file_id", F.explode("kept").alias("s")).select("file_id", "s.*")
 
 
 _NUMBERED = re.compile(r"^\s*(?:\d{1,3}[.)]\s*|[-•]\s*)")
@@ -187,24 +209,36 @@ def boundaries_of(pages: DataFrame) -> DataFrame:
     return pages.select("file_id", F.row_number().over(w).alias("page_number"), (upto - size).cast("int").alias("page_start"), upto.cast("int").alias("page_end"))
 
 
+def _candidates(docs: DataFrame, text: str, *more: str) -> DataFrame:
+    """more, rank, pattern, start, end, text of the candidates of each row; a place belongs to the first pattern that finds it."""
+
+    def of(rank: int, kind: str, pattern: str, lead: str | None) -> Column:
+        skip = lambda m: F.length(F.regexp_extract(m, lead, 0)) if lead else F.lit(0)
+        made = lambda m: F.struct((m["start"] + skip(m["match"])).alias("start"), m["end"].alias("end"), F.lit(rank).alias("rank"), F.lit(kind).alias("pattern"), (F.substring(m["match"], skip(m["match"]) + 1, F.length(m["match"])) if lead else m["match"]).alias("text"))
+        return F.coalesce(F.transform(matched(F.col("_t"), pattern), made), F.array().cast("array<struct<start:int,end:int,rank:int,pattern:string,text:string>>"))
+
+    def first(found: Column) -> Column:
+        return F.filter(found, lambda x, i: (i == 0) | (x["start"] != F.get(found, i - 1)["start"]) | (x["end"] != F.get(found, i - 1)["end"]))
+
+    found = F.sort_array(F.concat(*(of(rank, *c) for rank, c in enumerate(CANDIDATES))))
+    rows = X.once(docs.select(*more, F.col(text).alias("_t")), _m=X.bind(found, first)).select(*more, F.explode("_m").alias("x"))
+    rows = rows.select(*more, "x.rank", "x.pattern", "x.start", "x.end", X.strip(F.col("x.text")).alias("text")).filter(F.length("text").between(3, 50))
+    letters = X.count_not(F.col("text"), r"^\p{L}")
+    return rows.filter((letters >= 2) & (letters >= 0.5 * F.length("text")))
+
+
 def candidates(docs: DataFrame, text: str = "text", key: str = "file_id") -> DataFrame:
     """Names that recognition may have missed, by three patterns; a place belongs to the first pattern that finds it."""
-    found = None
-    for rank, (kind, pattern, lead) in enumerate(CANDIDATES):
-        m = matches(docs, pattern, text, key)
-        skip = F.length(F.regexp_extract("match", lead, 0)) if lead else F.lit(0)
-        rows = m.select(key, F.lit(rank).alias("rank"), F.lit(kind).alias("pattern"), (F.col("start") + skip).alias("start"), "end", F.substring(F.col("match"), skip + 1, F.length("match")).alias("text"))
-        found = rows if found is None else found.unionByName(rows)
     first = Window.partitionBy(key, "start", "end").orderBy("rank")
-    letters = X.count_not(F.col("text"), r"^\p{L}")
-    found = found.withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n")
-    return found.withColumn("text", X.strip(F.col("text"))).filter(F.length("text").between(3, 50) & (letters >= 2) & (letters >= 0.5 * F.length("text")))
+    return _candidates(docs, text, key).withColumn("_n", F.row_number().over(first)).filter("_n = 1").drop("_n").select(key, "rank", "pattern", "start", "end", "text")
 
 
 def recovered(docs: DataFrame, clean: str = "clean_text", raw: str = "raw_text") -> DataFrame:
-    """Candidates of the clean text that stand in the raw one and look like names, at confidence 0.5."""
-    found = candidates(docs, clean).join(docs.select("file_id", F.col(raw).alias("_raw")), "file_id")
-    same = F.substring(F.col("_raw"), F.col("start") + 1, F.length("text")) == F.col("text")
+    """Candidates of the clean text that stand in the raw one of their row and look like names, at confidence 0.5."""
+    rows = docs.select("file_id", F.col(clean).alias("_clean"), F.col(raw).alias("_raw"))
+    rows = X.once(rows, _same=F.col("_raw") == F.col("_clean"))
+    found = _candidates(rows, "_clean", "file_id", "_same", "_raw")
+    same = F.col("_same") | (F.substring(F.col("_raw"), F.col("start") + 1, F.length("text")) == F.col("text"))
     return found.filter(same & noise.name_like(F.col("text"))).select(
         "file_id", "start", (F.col("start") + F.length("text")).alias("end"), "text", F.lit("PER").alias("entity_type"), F.lit(0.5).alias("confidence"), F.lit(None).cast("int").alias("page_number")
     )
