@@ -20,8 +20,8 @@ def sorted_key(name: Column) -> Column:
 
 def trigrams(name: Column) -> Column:
     """The set of three-character pieces of ' name '."""
-    s = F.concat(F.lit("  "), key(name), F.lit(" "))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.substring(s, i, F.lit(3))))
+    pieces = lambda s: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(s) - 2), lambda i: F.substring(s, i, F.lit(3))))
+    return X.bind(F.concat(F.lit("  "), key(name), F.lit(" ")), pieces)
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -91,8 +91,10 @@ def similar_pairs(names: DataFrame, least: float = 0.5) -> DataFrame:
 
     A pair that similar shares one of the first n - ceil(least * n) + 1 trigrams of
     either name in one order of all trigrams (rarest first), so only these are joined.
+    The different names and their trigrams are written once, when this is called: their
+    number decides what follows, not how often each occurs.
     """
-    sets = names.select(F.col("name"), trigrams(F.col("name")).alias("t")).distinct()
+    sets = written(X.once(names.select("name").distinct(), t=trigrams(F.col("name"))), "trigrams")
     df = sets.select(F.explode("t").alias("g")).groupBy("g").agg(F.count(F.lit(1)).alias("df"))
     ranked = sets.select("name", F.size("t").alias("n"), F.explode("t").alias("g")).join(df, "g")
     order = ranked.groupBy("name", "n").agg(F.array_sort(F.collect_list(F.struct("df", "g"))).alias("o"))

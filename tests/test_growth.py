@@ -57,3 +57,13 @@ def test_places_of_matches_are_found_in_the_row(spark):
     assert "Exchange" not in plan(more) and "Join" not in plan(more) and more.count() == 0
     sums = spark.range(1).select(X.running(F.transform(F.sequence(F.lit(1), F.lit(1000)), lambda i: i.cast("int"))).alias("s")).first().s
     assert sums == [k * (k + 1) // 2 for k in range(1, 1001)]
+
+
+REPEATED = [("Mara Venn",), ("Mara Vann",), ("Otto Lind",)] * 50 + [(None,), ("",)]
+
+
+def test_pairs_of_different_names_alone(spark):
+    from lexforge.operators import search
+
+    pairs = search.similar_pairs(spark.createDataFrame(REPEATED, "name string").select(F.trim("name").alias("name")), 0.5)
+    assert "sequence" not in plan(pairs) and [(r.a, r.b) for r in pairs.collect()] == [("Mara Vann", "Mara Venn")]
