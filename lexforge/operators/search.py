@@ -36,9 +36,9 @@ def exact(names: DataFrame, query: str) -> DataFrame:
 
 
 def fuzzy(names: DataFrame, query: str, least: float = 0.3) -> DataFrame:
-    """Names by trigram similarity to the query, then by edit distance."""
+    """Names by trigram similarity to the query, then by edit distance. Each is scored once, where it lies after what ``names`` does."""
     q = F.lit(query)
-    scored = names.withColumn("score", similarity(trigrams(F.col("name")), trigrams(q))).filter(F.col("score") >= least)
+    scored = X.once(X.once(names, _t=trigrams(F.col("name"))), score=similarity(F.col("_t"), trigrams(q))).drop("_t").filter(F.col("score") >= least)
     return scored.withColumn("distance", F.levenshtein(key(F.col("name")), key(q)))
 
 

@@ -67,3 +67,13 @@ def test_pairs_of_different_names_alone(spark):
 
     pairs = search.similar_pairs(spark.createDataFrame(REPEATED, "name string").select(F.trim("name").alias("name")), 0.5)
     assert "sequence" not in plan(pairs) and [(r.a, r.b) for r in pairs.collect()] == [("Mara Vann", "Mara Venn")]
+
+
+def test_names_are_scored_once_each(spark):
+    from lexforge.operators import search
+
+    found = search.fuzzy(spark.createDataFrame(REPEATED, "name string").select(F.trim("name").alias("name")).distinct(), "Mara Vann")
+    assert {(r.name, r.distance) for r in found.collect()} == {("Mara Vann", 0), ("Mara Venn", 1)}
+    # below the aggregate, the names' own plan has nothing of the score
+    below = plan(found).split("HashAggregate")[-1]
+    assert "mara" not in below.lower() and "sequence" not in below
