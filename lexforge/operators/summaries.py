@@ -1,6 +1,5 @@
 """Summaries of documents: pages, prompts, chunks, map and reduce, occupations, cache."""
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -213,6 +212,10 @@ def selected(docs: DataFrame, cache: DataFrame, model: str, prompt: str, *, want
     return rows if limit is None else rows.orderBy("file_id").limit(limit)
 
 
+#: Prompts whose texts and replies a worker holds at a time, rounded to whole batches.
+REPLY_ROWS = 256
+
+
 def replied(prompts: DataFrame, backend_name: str, tries: int = 2, most_chars: int = CONTEXT_TOKENS * 3, column: str = "prompt", batch: int = CHUNK_COUNT) -> DataFrame:
     """Adds reply, by a model backend a worker holds: batches first, then single prompts again; '' where none comes.
 
@@ -222,13 +225,17 @@ def replied(prompts: DataFrame, backend_name: str, tries: int = 2, most_chars: i
     from pyspark.sql import types as T
 
     schema = T.StructType([*prompts.schema.fields, T.StructField("reply", T.StringType())])
+    rows = max(1, REPLY_ROWS // batch) * batch
 
     def run(frames):
+        import pyarrow as pa
+
         from lexforge.sources.backends import TooLong, backend
 
         model = backend(backend_name)
-        for frame in frames:
-            asked = [p or "" for p in frame[column]]
+
+        def answered(frame):
+            asked = [p or "" for p in frame.column(column).to_pylist()]
             got: list[str | None] = []
             for i in range(0, len(asked), batch):
                 part = asked[i : i + batch]
@@ -246,6 +253,13 @@ def replied(prompts: DataFrame, backend_name: str, tries: int = 2, most_chars: i
                         got[i] = None
                     if got[i]:
                         break
-            yield frame.assign(reply=pd.Series([r or "" for r in got], index=frame.index, dtype=object))
+            return pa.RecordBatch.from_arrays([*frame.columns, pa.array([r or "" for r in got], told)], schema=frame.schema.append(pa.field("reply", told)))
+
+        for whole in frames:
+            kind = whole.schema.field(column).type
+            told = kind if pa.types.is_string(kind) or pa.types.is_large_string(kind) else pa.string()
+            # a worker holds the texts and replies of one slice, however many rows come at once
+            for i in range(0, whole.num_rows, rows):
+                yield answered(whole.slice(i, rows))
 
-    return prompts.mapInPandas(run, schema)
+    return prompts.mapInArrow(run, schema)

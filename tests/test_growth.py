@@ -77,3 +77,29 @@ def test_names_are_scored_once_each(spark):
     # below the aggregate, the names' own plan has nothing of the score
     below = plan(found).split("HashAggregate")[-1]
     assert "mara" not in below.lower() and "sequence" not in below
+
+
+def test_a_worker_holds_one_slice_of_prompts(spark):
+    import os
+
+    from lexforge.operators import summaries
+    from lexforge.sources import backends
+
+    made = os.path.join(os.environ.get("TMPDIR", "/tmp"), f"slices-{random.random()}")
+
+    def maker():
+        def reply(prompt):
+            # how many prompts were alive, as objects of Python, when this one was answered
+            import gc
+
+            with open(made, "a") as f:
+                f.write(f"{max((len(x) for x in gc.get_objects() if type(x) is list and len(x) > 100 and all(type(y) is str and y.startswith('prompt ') for y in x)), default=0)}\\n")
+            return prompt.upper() if prompt.endswith("99") else "-"
+
+        return backends.MockBackend(reply)
+
+    prompts = spark.range(0, 700, 1, 1).select("id", F.concat(F.lit("prompt "), F.col("id").cast("string")).alias("prompt"), F.lit(None).cast("string").alias("more"))
+    got = summaries.replied(prompts, maker).collect()
+    assert [(r.id, r.prompt, r.more, r.reply) for r in got] == [(i, f"prompt {i}", None, f"PROMPT {i}" if i % 100 == 99 else "-") for i in range(700)]
+    with open(made) as f:
+        assert max(map(int, f)) <= summaries.REPLY_ROWS
