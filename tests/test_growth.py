@@ -93,7 +93,7 @@ def test_a_worker_holds_one_slice_of_prompts(spark):
             import gc
 
             with open(made, "a") as f:
-                f.write(f"{max((len(x) for x in gc.get_objects() if type(x) is list and len(x) > 100 and all(type(y) is str and y.startswith('prompt ') for y in x)), default=0)}\\n")
+                f.write(f"{max((len(x) for x in gc.get_objects() if type(x) is list and len(x) > 100 and all(type(y) is str and y.startswith('prompt ') for y in x)), default=0)}\n")
             return prompt.upper() if prompt.endswith("99") else "-"
 
         return backends.MockBackend(reply)
