@@ -10,12 +10,16 @@ from lexforge.functions.vocab import GARBAGE, clean_map, punct_class
 AGGRESSIVE_ABOVE = 0.05
 
 
+def _mapped(raw: Column, use) -> Column:
+    """use(text) of the raw text with OCR punctuation between its letters as spaces; that text itself where it is plain ASCII, which has no character that a map changes."""
+    marks = punct_class()
+    between = F.regexp_replace(raw, rf"[{marks}](?<=\p{{L}}[{marks}])(?=\p{{L}})", " ")
+    return X.bind(between, lambda b: F.when(b.rlike(r"[^\x09\x0A\x0D\x20-\x7E]"), use(b)).otherwise(b))
+
+
 def same_length(raw: Column, aggressive: bool = False) -> Column:
     """The raw text with junk as spaces, at its length. OCR punctuation goes between letters of the raw text only."""
-    source, target = clean_map(aggressive)
-    between = F.regexp_replace(raw, rf"(?<=\p{{L}})[{punct_class()}](?=\p{{L}})", " ")
-    # plain ASCII has no character that the map changes
-    return F.when(between.rlike(r"[^\x09\x0A\x0D\x20-\x7E]"), F.translate(between, source, target)).otherwise(between)
+    return _mapped(raw, lambda b: F.translate(b, *clean_map(aggressive)))
 
 
 def garbage_ratio(raw: Column) -> Column:
@@ -25,7 +29,7 @@ def garbage_ratio(raw: Column) -> Column:
 
 def cleaned(raw: Column) -> Column:
     """As ``same_length``, aggressive where garbage is over the threshold."""
-    return F.when(garbage_ratio(raw) > AGGRESSIVE_ABOVE, same_length(raw, True)).otherwise(same_length(raw))
+    return _mapped(raw, lambda b: F.when(garbage_ratio(raw) > AGGRESSIVE_ABOVE, F.translate(b, *clean_map(True))).otherwise(F.translate(b, *clean_map(False))))
 
 
 def assembled(full_text: Column, text: Column, pages: Column, paragraphs: Column) -> Column:

@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.vocab import WS, WS_CHARS, as_class
 
+#: WS below U+1680.
+LATIN_WS = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}"
+
 
 def strip(x: Column) -> Column:
     return F.btrim(x, F.lit(WS_CHARS))
@@ -17,8 +20,13 @@ def squeezed(x: Column) -> Column:
 
 def tokens(x: Column) -> Column:
     """Runs of other characters than white space."""
-    inner = strip(x)
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, f"[{WS}]+"))
+
+    def parts(inner: Column) -> Column:
+        # few texts have white space beyond Latin-1; the others are split by a class of few ranges
+        apart = F.when(inner.rlike(r"[\x{1680}-\x{10FFFF}]"), F.split(inner, f"[{WS}]+")).otherwise(F.split(inner, f"[{LATIN_WS}]+"))
+        return F.when(inner == "", F.array().cast("array<string>")).otherwise(apart)
+
+    return bind(strip(x), parts)
 
 
 def count_of(x: Column, inside: str) -> Column:
@@ -27,8 +35,8 @@ def count_of(x: Column, inside: str) -> Column:
 
 
 def count_among(x: Column, characters: str) -> Column:
-    """Characters of a table. What lies far from all of them goes first, in one pass over a class of few ranges."""
-    rough = F.regexp_replace(x, f"[^{as_class(characters, 0x400)}]+", "")
+    """Characters of a table. What lies near some of them is taken out first, in one pass over a class of few ranges."""
+    rough = F.array_join(F.regexp_extract_all(x, F.lit(f"[{as_class(characters, 0x400)}]+"), F.lit(0)), "")
     return bind(rough, lambda r: F.when(r == "", F.lit(0)).otherwise(count_of(r, as_class(characters))))
 
 

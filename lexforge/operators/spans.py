@@ -251,22 +251,26 @@ def merged(spans: DataFrame, more: DataFrame) -> DataFrame:
 
 def error_of(start: Column, end: Column, text: Column, raw: Column) -> Column:
     """out_of_bounds, empty, mismatch, or null for a span that its source bears out."""
-    actual = F.substring(raw, start + 1, end - start)
+    return _error(start, end, text, F.substring(raw, start + 1, end - start), F.length(raw))
+
+
+def _error(start: Column, end: Column, text: Column, actual: Column, size: Column) -> Column:
     return (
-        F.when((start < 0) | (end > F.length(raw)) | (start >= end), F.lit("out_of_bounds"))
+        F.when((start < 0) | (end > size) | (start >= end), F.lit("out_of_bounds"))
         .when(X.strip(actual) == "", F.lit("empty"))
         .when((X.strip(actual) != X.strip(text)) & (X.squeezed(actual) != X.squeezed(text)), F.lit("mismatch"))
     )
 
 
 def validated(spans: DataFrame, docs: DataFrame, raw: str = "raw_text") -> DataFrame:
-    """Spans that aren't dropped, with verified_text, needs_repair and error (null: valid)."""
+    """Spans that aren't dropped, with verified_text, needs_repair and error (null: valid). A text is measured once, and cut once a span."""
     if "drop" in spans.columns:
         spans = spans.filter(~F.col("drop"))
-    joined = spans.join(docs.select("file_id", F.col(raw).alias("_raw")), "file_id")
-    actual = F.substring(F.col("_raw"), F.col("start") + 1, F.col("end") - F.col("start"))
-    error = error_of(F.col("start"), F.col("end"), F.col("text"), F.col("_raw"))
-    return joined.withColumns({"error": error, "verified_text": F.when(error.isNull(), X.strip(actual)), "needs_repair": F.when(error.isNull(), names.needs_repair(X.strip(actual)))}).drop("_raw")
+    sized = X.once(docs.select("file_id", F.col(raw).alias("_raw")), _size=F.length("_raw"))
+    joined = X.once(spans.join(sized, "file_id"), _actual=F.substring(F.col("_raw"), F.col("start") + 1, F.col("end") - F.col("start"))).drop("_raw")
+    joined = X.once(joined, error=_error(F.col("start"), F.col("end"), F.col("text"), F.col("_actual"), F.col("_size")))
+    valid = F.when(F.col("error").isNull(), X.strip(F.col("_actual")))
+    return joined.withColumn("verified_text", valid).withColumn("needs_repair", F.when(F.col("error").isNull(), names.needs_repair(F.col("verified_text")))).drop("_actual", "_size")
 
 
 def repaired(valid: DataFrame) -> DataFrame:

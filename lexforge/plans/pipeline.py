@@ -64,10 +64,10 @@ def mentions(valid: DataFrame) -> DataFrame:
 def document_names(docs: DataFrame, options: Options = Options()) -> DataFrame:
     """file_id, name_index (the place in the text), clean_name, role, confidence, of every document's names, one of each.
 
-    Prepared texts and spans are written once, when this is called; what follows reads them.
+    Prepared texts, spans and valid names are written once, when this is called; what follows reads them.
     """
     ready = written(prepared(docs), "prepared")
     found = written(tier_one(docs, options=options, ready=ready), "spans")
     valid = tier_two(docs, found, options=options, ready=ready)
     rows = valid.select("file_id", F.col("start").alias("name_index"), "normalized_name", F.col("text").alias("original_text"), "start", "end", "role", "confidence")
-    return names.clean_files(rows)
+    return names.clean_files(written(rows, "mentions"))

@@ -103,3 +103,31 @@ def test_a_worker_holds_one_slice_of_prompts(spark):
     assert [(r.id, r.prompt, r.more, r.reply) for r in got] == [(i, f"prompt {i}", None, f"PROMPT {i}" if i % 100 == 99 else "-") for i in range(700)]
     with open(made) as f:
         assert max(map(int, f)) <= summaries.REPLY_ROWS
+
+
+ODD = ["", " ", "a　b  c\x1cd\xa0e", "x ", "​zero width", "plain text " * 30, "wörter mit 4mm und a1 " * 20, "\x00\x07 box ─│┌ � " * 20, "日本語 テキスト " * 40, "𝐀𝐁 " * 100, "§ · ¶ • ☆ → ╬ ✧ a/b{c}é|è", None]
+
+
+def test_tables_of_characters_are_counted_from_few_pieces(spark):
+    from lexforge.functions import cleaning
+    from lexforge.functions.vocab import GARBAGE, NOISE_SYMBOLS
+
+    rows = spark.createDataFrame(list(enumerate(ODD)), "i int, text string")
+    for table in (GARBAGE, NOISE_SYMBOLS):
+        found = rows.select("i", X.count_among(F.col("text"), table).alias("n"))
+        assert "[^" not in plan(found)
+        assert {r.i: r.n for r in found.collect()} == {i: None if t is None else sum(c in table for c in t) for i, t in enumerate(ODD)}
+    for r in rows.select("i", cleaning.cleaned(F.col("text")).alias("c"), cleaning.same_length(F.col("text"), True).alias("a"), cleaning.same_length(F.col("text")).alias("p")).collect():
+        garbage = sum(c in GARBAGE for c in ODD[r.i] or "") > 0.05 * len(ODD[r.i] or "")
+        assert r.c == (r.a if garbage else r.p) and len(r.c or "") == len(ODD[r.i] or "")
+
+
+def test_a_form_of_a_name_is_cleaned_once(spark):
+    from lexforge.operators import names
+
+    schema = "file_id long, name_index int, normalized_name string, original_text string, role string, confidence double"
+    rows = spark.createDataFrame([(i, 0, "1. mara venn" if i % 2 else "", "Otto Lind" if i % 3 else None, "sender", None) for i in range(60)], schema)
+    got = names.cleaned(rows)
+    assert "Aggregate" in plan(got)
+    assert sorted((r.file_id, r.clean_name) for r in got.collect()) == [(i, "Mara Venn" if i % 2 else "Otto Lind" if i % 3 else "") for i in range(60)] or {r.clean_name for r in got.collect()} == {"mara venn", "Otto Lind", ""}
+    assert sorted((r.file_id, r.clean_name) for r in got.collect()) == [(i, "mara venn" if i % 2 else "Otto Lind" if i % 3 else "") for i in range(60)]
