@@ -10,6 +10,8 @@ from lexforge.functions.vocab import COMMON_WORDS, WS
 MIN_CHARS, WORDS_GOOD, WORDS_BAD, GRAY_ALPHA, MAX_WEIRD, MIN_MEDIAN, MAX_MEDIAN, MAX_DIGIT_MIX = 200, 0.55, 0.25, 0.50, 0.05, 2, 20, 0.40
 #: Replacement character, control characters other than \t\n\r, box drawing, blocks, specials.
 WEIRD = r"\x{FFFD}\x00-\x08\x0B\x0C\x0E-\x1F\x7F\x{2500}-\x{259F}\x{FFF0}-\x{FFFE}"
+#: All of these and some more, in few ranges.
+ROUGHLY_WEIRD = r"[\x00-\x08\x0B-\x0C\x0E-\x1F\x7F\x{2500}-\x{FFFE}]"
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -22,17 +24,19 @@ def word_ratio(text: Column, dictionary=tuple(COMMON_WORDS)) -> Column:
     return X.bind(words, lambda w: F.when(F.size(w) < 5, F.lit(0.0)).otherwise(F.size(F.filter(w, lambda x: x.isin(*dictionary))).cast("double") / F.size(w)))
 
 
-def alpha_ratio(text: Column) -> Column:
-    """Letters among characters that aren't white space."""
-    return ratio(X.count_not(text, r"^\p{L}"), X.count_not(text, WS))
+def alpha_ratio(text: Column, tokens: Column | None = None) -> Column:
+    """Letters among characters that aren't white space. tokens: the text's, if they are at hand."""
+    solid = X.count_not(text, WS) if tokens is None else F.length(F.array_join(tokens, ""))
+    return ratio(X.count_not(text, r"^\p{L}"), solid)
 
 
 def weird_ratio(text: Column) -> Column:
-    return ratio(X.count_of(text, WEIRD), F.length(text))
+    some = text.rlike(ROUGHLY_WEIRD)
+    return ratio(F.when(some, X.count_of(text, WEIRD)).otherwise(F.when(text.isNotNull(), F.lit(0))), F.length(text))
 
 
-def token_sanity(text: Column) -> Column:
-    """(median token length, share of tokens with both a letter and a digit)."""
+def token_sanity(text: Column, tokens: Column | None = None) -> Column:
+    """(median token length, share of tokens with both a letter and a digit). tokens: the text's, if they are at hand."""
 
     def of(t: Column) -> Column:
         lengths = F.sort_array(F.transform(t, lambda x: F.length(x)))
@@ -41,7 +45,7 @@ def token_sanity(text: Column) -> Column:
         middle = X.bind(lengths, lambda s: (F.get(s, F.floor((n - 1) / 2).cast("int")) + F.get(s, F.floor(n / 2).cast("int"))) / F.lit(2.0))
         return F.struct(F.coalesce(middle, F.lit(0.0)).alias("median_token_len"), ratio(mixed, n).alias("digit_mixed_ratio"))
 
-    return X.bind(X.tokens(text), of)
+    return X.bind(X.tokens(text), of) if tokens is None else of(tokens)
 
 
 def percent(x: Column) -> Column:
@@ -56,10 +60,14 @@ def gate(text: Column, dictionary=tuple(COMMON_WORDS)) -> Column:
 
     def signals(s: Column) -> Column:
         long = F.length(s) >= MIN_CHARS
-        sanity = token_sanity(s)
+        none = F.array().cast("array<string>")
+        return X.bind(F.when(long, X.tokens(s)).otherwise(none), lambda tokens: of(s, long, tokens))
+
+    def of(s: Column, long: Column, tokens: Column) -> Column:
+        sanity = token_sanity(s, tokens)
         value = lambda x: F.when(long, x).otherwise(F.lit(0.0))
         return F.struct(
-            F.length(s).alias("n"), value(word_ratio(s, dictionary)).alias("w"), value(alpha_ratio(s)).alias("a"), value(weird_ratio(s)).alias("x"),
+            F.length(s).alias("n"), value(word_ratio(s, dictionary)).alias("w"), value(alpha_ratio(s, tokens)).alias("a"), value(weird_ratio(s)).alias("x"),
             F.when(long, sanity).otherwise(F.struct(F.lit(0.0).alias("median_token_len"), F.lit(0.0).alias("digit_mixed_ratio"))).alias("t"),
         )
 

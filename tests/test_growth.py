@@ -131,3 +131,23 @@ def test_a_form_of_a_name_is_cleaned_once(spark):
     assert "Aggregate" in plan(got)
     assert sorted((r.file_id, r.clean_name) for r in got.collect()) == [(i, "Mara Venn" if i % 2 else "Otto Lind" if i % 3 else "") for i in range(60)] or {r.clean_name for r in got.collect()} == {"mara venn", "Otto Lind", ""}
     assert sorted((r.file_id, r.clean_name) for r in got.collect()) == [(i, "mara venn" if i % 2 else "Otto Lind" if i % 3 else "") for i in range(60)]
+
+
+def test_gate_splits_a_text_once(spark):
+    import re
+
+    from lexforge.functions import quality
+
+    rows = spark.createDataFrame(list(enumerate(ODD)), "i int, text string")
+    gate = rows.select("i", quality.gate(F.col("text")).alias("g"))
+    assert not re.search(r"regexp_replace\([^()]*\[\\x09-\\x0D", plan(gate))  # solid characters come from the tokens
+    s = X.strip(F.col("text"))
+    alone = {r.i: r for r in rows.select("i", quality.alpha_ratio(s).alias("a"), quality.weird_ratio(s).alias("x"), quality.token_sanity(s).alias("t"), X.tokens(F.col("text")).alias("w")).collect()}
+    for r in gate.collect():
+        text = (ODD[r.i] or "").strip()
+        if ODD[r.i] is not None:
+            assert alone[r.i].w == text.split()
+        if len(text) >= 200:
+            assert r.g.alpha_ratio == alone[r.i].a == sum(c.isalpha() for c in text) / len("".join(text.split())) and r.g.weird_ratio == alone[r.i].x
+            assert (r.g.median_token_len, r.g.digit_mixed_ratio) == tuple(alone[r.i].t)
+            assert (r.g.median_token_len, r.g.digit_mixed_ratio) == tuple(alone[r.i].t)
